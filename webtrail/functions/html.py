@@ -25,7 +25,10 @@ HREF_CHARS, ANCHOR_CHARS, FIELD_CHARS, ATTRIBUTE_CHARS = 2048, 220, 500, 80
 RAW_LINK_LIMIT = 50
 
 # Boilerplate blocks left out of the main text.
-BOILERPLATE = r"(?is)<(nav|header|footer|aside|form|noscript)\b[^>]*>.*?</\1\s*>"
+BOILERPLATE = (
+    r"(?is)<nav(?:\s[^>]*)?>.*?</nav\s*>|<header(?:\s[^>]*)?>.*?</header\s*>"
+    r"|<footer(?:\s[^>]*)?>.*?</footer\s*>|<aside(?:\s[^>]*)?>.*?</aside\s*>"
+)
 COMMENT = r"(?s)<!--.*?-->"
 
 

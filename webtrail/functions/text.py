@@ -7,7 +7,6 @@ no-break space and its relatives, so the class is spelled out.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -94,14 +93,12 @@ def unit_float(text: Column, default: float = 0.0) -> Column:
 
 
 def has_any(text: Column, terms: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(t)) for t in terms])
+    return F.exists(F.lit(list(terms)), lambda term: F.contains(text, term))
 
 
 def term_count(lowered: Column, terms: Sequence[str]) -> Column:
     """How many of the terms occur as substrings; each term counts once."""
-    return reduce(
-        lambda a, b: a + b, [F.contains(lowered, F.lit(t)).cast("int") for t in terms]
-    )
+    return F.size(F.filter(F.lit(list(terms)), lambda term: F.contains(lowered, term)))
 
 
 def keyword_hits(lowered: Column, terms: Sequence[str]) -> Column:

@@ -102,7 +102,7 @@ def running_totals(
 
 
 # The running quantile reads values as digits of this base, one pass per digit.
-BASE = 32
+BASE = 16
 CHUNK = 4096
 
 
@@ -121,7 +121,7 @@ def running_quantile(
     wanted; other columns are kept. The answer is built digit by digit from the
     top: a pass counts, for the codes that share the digits known so far, how many
     arrived up to ``m`` with each next digit, and picks the digit where the wanted
-    rank falls. Passes: ``log_32`` of the largest code. Work is cut into pieces of
+    rank falls. Passes: ``log_16`` of the largest code. Work is cut into pieces of
     4096 arrivals, so a hot key is spread over many tasks.
     """
     keys = list(keys)

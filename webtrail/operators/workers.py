@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..params import DEFAULTS, Params
+from ..session import cut_lineage
 from .quantiles import exact_quantile, running_quantile, running_totals
 
 METRICS = ("processed_count", "failed_count", "frontier_enqueued")
@@ -75,6 +76,8 @@ def metric_snapshots(outcomes: DataFrame, params: Params = DEFAULTS) -> DataFram
             "latency_sum": F.when(_done(), _exact(F.col("latency_ms"))).otherwise(F.lit(0)),
         },
     )
+    # Read four times below: snapshots, closing rows, latencies, their maximum.
+    counted = cut_lineage(counted)
     last = outcomes.groupBy("worker").agg(
         F.max(F.struct("ts", "outcome_id")).alias("last_")
     )

@@ -57,7 +57,7 @@ def pages_of(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def linked_of(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(X.derive(spark, sf, X.LINKED_PAGES), "page_id")
+    return X.derive(spark, sf, X.LINKED_PAGES)
 
 
 def r6(name: str) -> Column:

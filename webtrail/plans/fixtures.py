@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import spread
+
 QUEUE = """
 SELECT page_id AS id,
        regexp_replace(url, '#.*$', '') AS url,
@@ -153,6 +155,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def derive(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """Run one of the SELECTs above on the given tables."""
     used = {t: table(spark, sf_dir, t) for t in TABLES if "{" + t + "}" in text}
+    if text is LINKED_PAGES:
+        used["pages"] = spread(used["pages"], "page_id")
     return spark.sql(text, **used)
 
 

@@ -58,7 +58,8 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
     A large table already arrives in more splits than there are cores and passes
     through untouched (its wide rows are never shuffled); only a table of a few
-    files is redistributed.
+    files is redistributed. Use it on a table as read: asking a plan with joins for
+    its partitions would already run them.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
