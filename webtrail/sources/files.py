@@ -84,7 +84,8 @@ def _tsv(spark: SparkSession, schema: str):
 
 
 def fetch_log(spark: SparkSession, paths: str | Sequence[str], run: Column | None = None) -> DataFrame:
-    """Fetch logs of one or many runs; ``run`` is the folder a log lies in.
+    """Fetch logs of one or many runs; ``run`` is the folder that holds a log
+    (a ``.tsv`` file, or a folder of that name as Spark writes it).
 
     An empty list of paths gives an empty log.
     """
@@ -93,7 +94,7 @@ def fetch_log(spark: SparkSession, paths: str | Sequence[str], run: Column | Non
         return spark.createDataFrame([], schema).withColumn("run", F.lit(None).cast("string"))
     rows = _tsv(spark, FETCH_LOG_SCHEMA).csv(paths if isinstance(paths, str) else list(paths))
     if run is None:
-        run = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+(?:/[^/]+)?\z", 1)
+        run = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+\.tsv(?:/[^/]+)?\z", 1)
     return rows.withColumn("run", run)
 
 
