@@ -115,8 +115,8 @@ def char_count(text: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    """Number of whitespace-separated words; empty text has none."""
-    flat = squeeze(text)
-    return F.when(flat == "", F.lit(0)).otherwise(
-        F.length(flat) - F.length(F.replace(flat, F.lit(" "))) + 1
+    """Number of whitespace-separated words: every word with the space after it
+    shrinks to one character, and those are counted."""
+    return F.length(
+        F.regexp_replace(strip(text), rf"[^{WS[1:]}+{WS}*", "w")
     ).cast("bigint")

@@ -24,9 +24,15 @@ QUEUE_SCHEMA = (
 QUEUE_COLUMNS = [part.split()[0] for part in QUEUE_SCHEMA.split(", ")]
 # Fixed value: stored length of an error message.
 ERROR_CHARS = 4096
-# A claim set of at most this many (id, rank, worker) rows, a few MB, is broadcast.
+# A table known to hold at most this many narrow rows (a few MB) is broadcast.
 BROADCAST_ROWS = 50_000
 
+def bounded(rows: DataFrame, bound: int | None) -> DataFrame:
+    """Broadcast rows whose number has a proven small bound; others join as Spark
+    decides from their measured size."""
+    return F.broadcast(rows) if bound is not None and bound <= BROADCAST_ROWS else rows
+
+
 def _null(kind: str) -> Column:
     return F.lit(None).cast(kind)
 
@@ -141,9 +147,8 @@ def claim_set(queue: DataFrame, batch: int, workers: int = 1) -> DataFrame:
 
 def apply_claims(queue: DataFrame, claims: DataFrame, at: Column, bound: int) -> DataFrame:
     """Mark the claimed rows in progress. ``bound`` is the size limit of ``claims``."""
-    side = F.broadcast(claims) if bound <= BROADCAST_ROWS else claims
     hit = F.col("claim_rank").isNotNull()
-    joined = queue.join(side, "id", "left")
+    joined = queue.join(bounded(claims, bound), "id", "left")
     return joined.select(
         *_updated(
             {
@@ -169,20 +174,25 @@ def _updated(changes: dict[str, Column], extra: Iterable[str] = ()) -> list[Colu
 
 
 def apply_outcomes(
-    queue: DataFrame, outcomes: DataFrame, at: Column, extra: Iterable[str] = ()
+    queue: DataFrame,
+    outcomes: DataFrame,
+    at: Column,
+    extra: Iterable[str] = (),
+    bound: int | None = None,
 ) -> DataFrame:
     """Settle processed URLs: ``outcomes`` has unique ``id`` and ``failure``
     (NULL when the page was done, else the message).
 
     Done clears the claim and stamps the time. A failure counts one retry, and
-    the URL goes back to pending until its retries are used up.
+    the URL goes back to pending until its retries are used up. ``bound`` is a
+    size limit of ``outcomes`` where one is known, such as the claim batch.
     """
     marked = outcomes.select("id", F.col("failure"), F.lit(True).alias("hit_"), *extra)
     hit = F.col("hit_").isNotNull()
     done = hit & F.col("failure").isNull()
     failed = hit & F.col("failure").isNotNull()
     spent = F.col("retries") + 1 >= F.col("max_retries")
-    return queue.join(marked, "id", "left").select(
+    return queue.join(bounded(marked, bound), "id", "left").select(
         *_updated(
             {
                 "status": F.when(done, F.lit("done"))
@@ -337,7 +347,7 @@ def queue_violations(
         )
 
     def parent_rule(rule: str, df: DataFrame, child: str) -> DataFrame:
-        known = queue.select(F.col("id").alias(child)).distinct()
+        known = queue.select(F.col("id").alias(child))
         return (
             df.filter(F.col(child).isNotNull())
             .groupBy(child)

@@ -105,16 +105,20 @@ def metric_snapshots(outcomes: DataFrame, params: Params = DEFAULTS) -> DataFram
         "worker", F.col("processed_count").alias("seq"), F.col("cents_").alias("code")
     )
     top = successes.agg(F.max("code")).first()[0] or 0
-    asked = snapshots.withColumn("m", F.col("processed_count"))
+    # Many failures in a row repeat the same processed count: ask once for each.
+    asked = snapshots.filter("processed_count > 0").select(
+        "worker", F.col("processed_count").alias("m")
+    ).distinct()
+    p95 = running_quantile(successes, asked, ["worker"], top).withColumnRenamed(
+        "m", "processed_count"
+    )
     return (
-        running_quantile(successes, asked, ["worker"], top)
+        snapshots.join(p95, ["worker", "processed_count"], "left")
         .withColumn(
             "p95_latency_ms",
-            F.when(F.col("m") > 0, F.col("p95_code") / 100)
-            .otherwise(F.lit(0.0))
-            .cast("decimal(10,2)"),
+            (F.coalesce("p95_code", F.lit(0)) / 100).cast("decimal(10,2)"),
         )
-        .drop("m", "p95_code")
+        .drop("p95_code")
     )
 
 

@@ -125,7 +125,7 @@ def page_text(spark, sf):
 
 @query
 def document_words(spark, sf):
-    docs = X.table(spark, sf, "documents")
+    docs = spread(X.table(spark, sf, "documents"), "doc_id")
     return docs.select(
         "doc_id",
         char_count(F.col("text")).alias("chars"),

@@ -116,11 +116,13 @@ def replay_round(
     revisit: bool = True,
 ) -> DataFrame:
     """Claim a batch, look its pages up, settle it, and merge what it links to."""
-    claims = cut_lineage(
-        Q.claim_set(queue, batch).join(queue.select("id", "url", "depth"), "id")
-        .join(lookup, "url", "left")
-        .select("id", "url", "depth", "claim_rank", "worker", key)
+    # Both large tables are only probed: the batch, bounded by its size, is broadcast
+    # to them. (A left join from the batch would shuffle the whole lookup.)
+    due = cut_lineage(
+        queue.select("id", "url", "depth").join(Q.bounded(Q.claim_set(queue, batch), batch), "id")
     )
+    found_pages = lookup.join(Q.bounded(due.select("url"), batch), "url")
+    claims = cut_lineage(due.join(Q.bounded(found_pages, batch), "url", "left"))
     claimed = Q.apply_claims(queue, claims.select("id", "claim_rank", "worker"), at, batch)
     outcomes = claims.select(
         "id",
@@ -128,12 +130,12 @@ def replay_round(
         # a page is settled after all its own links have arrived
         (F.col("claim_rank") * STRIDE + (STRIDE - 1)).cast("bigint").alias("settled_ord"),
     )
-    settled = Q.apply_outcomes(claimed, outcomes, at, extra=["settled_ord"])
+    settled = Q.apply_outcomes(claimed, outcomes, at, extra=["settled_ord"], bound=batch)
     parents = claims.filter(F.col(key).isNotNull() & (F.col("depth") < params.max_depth))
     found = as_discoveries(
-        edges.join(parents.select(key, "id", "depth", "claim_rank"), key).withColumn(
-            "priority", priority(F.col("geo_score"), F.col("depth"))
-        )
+        edges.join(
+            Q.bounded(parents.select(key, "id", "depth", "claim_rank"), batch), key
+        ).withColumn("priority", priority(F.col("geo_score"), F.col("depth")))
     )
     return Q.upsert_discovered(settled, found, at, first_id, settled="settled_ord", revisit=revisit)
 
