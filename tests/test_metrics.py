@@ -31,6 +31,13 @@ def test_exact_quantile_with_a_hot_key_and_nulls(spark):
     assert got == {k: (len(v), plain.floor_quantile(v)) for k, v in want.items()}
 
 
+def test_null_keys_stay(spark):
+    df = spark.createDataFrame([(None, 1.0, "ok", 5), (None, 3.0, "ok", 5), ("r", 2.0, "ok", 1)], "run string, ms double, status string, bytes bigint")
+    assert {r.run: (r.total_urls, r.p95_ms) for r in R.run_totals(df).collect()} == {None: (2, 1.0), "r": (1, 2.0)}
+    odd = spark.createDataFrame([("k", v) for v in (-5.0, -0.5, float("inf"), 2.0, float("-inf"))], "k string, v double")
+    assert K.exact_quantile(odd, ["k"], "v").first().p95 == 2.0
+
+
 def test_running_quantile_of_every_prefix(spark, monkeypatch):
     monkeypatch.setattr(K, "CHUNK", 64)
     rnd = random.Random(5)

@@ -102,6 +102,15 @@ def test_claims_are_ordered_bounded_and_disjoint(spark):
     assert (one.claimed_by, one.claimed_at, one.updated_at) == (f"worker-{claims[0].worker}", AT, AT)
 
 
+def test_large_claims_rank_like_small_ones(spark, monkeypatch):
+    rows = [dict(id=i * 700_001, url=f"u{i}", priority=i % 3, geo_score=0.5, retries=i % 2) for i in range(300)]
+    queue = make_queue(spark, rows)
+    small = sorted(map(tuple, Q.claim_set(queue, 50, 3).collect()))
+    monkeypatch.setattr(Q, "BROADCAST_ROWS", 10)
+    assert sorted(map(tuple, Q.claim_set(queue, 50, 3).collect())) == small
+    assert Q.claim(queue, 50, at()).filter("status = 'in_progress'").count() == 50
+
+
 def test_outcomes(spark):
     busy = dict(status="in_progress", claimed_by="w", claimed_at=dt.datetime(2024, 1, 5))
     queue = make_queue(spark, [

@@ -25,7 +25,19 @@ def floor_index(q: float, n: Column) -> Column:
 
 def _bucket(value: Column) -> Column:
     """Order-preserving bucket number; equal buckets hold nearly equal values."""
-    return (F.signum(value) * F.floor(F.log1p(F.abs(value)) * RESOLUTION)).cast("bigint")
+    size = F.floor(F.log1p(F.abs(value)) * RESOLUTION)
+    return F.when(F.isnan(value), F.lit((1 << 63) - 1)).when(value < 0, -size).otherwise(size)
+
+
+def match_on(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Join on equal keys where NULL equals NULL, so no group gets lost. (It also
+    keeps Spark from deriving key filters, which would stop it from sharing a
+    shuffle that both sides come from.)"""
+    renamed = right.withColumnsRenamed({k: f"{k}__r" for k in keys})
+    on = [left[k].eqNullSafe(renamed[f"{k}__r"]) for k in keys]
+    return left.join(renamed, on, how).drop(*[f"{k}__r" for k in keys])
 
 
 def exact_quantile(
@@ -60,7 +72,7 @@ def exact_quantile(
         (F.col("upto_") > F.col("k_")) & (F.col("upto_") - F.col("bc_") <= F.col("k_"))
     ).select(*keys, "b_", "n", (F.col("k_") - F.col("upto_") + F.col("bc_")).alias("left_"))
     inside = Window.partitionBy(*keys).orderBy("v_").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counts.join(wanted, [*keys, "b_"]).withColumn("rank_", F.sum("c_").over(inside))
+    ranked = match_on(counts, wanted, [*keys, "b_"]).withColumn("rank_", F.sum("c_").over(inside))
     return (
         ranked.filter(F.col("rank_") > F.col("left_"))
         .groupBy(*keys)
@@ -94,7 +106,7 @@ def running_totals(
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    joined = parts.join(offsets, [*keys, chunk])
+    joined = match_on(parts, offsets, [*keys, chunk])
     return joined.select(
         *df.columns,
         *[(F.sum(f"x_{n}").over(within) + F.col(f"o_{n}")).alias(n) for n in sums],

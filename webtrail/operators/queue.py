@@ -127,17 +127,19 @@ def _fresh_columns(at: Column) -> list[Column]:
 def claim_set(queue: DataFrame, batch: int, workers: int = 1) -> DataFrame:
     """``id, claim_rank, worker``: the next ``batch`` URLs for each of the workers.
 
-    One bounded top-k over the claimable rows; the ranking window then sees only
-    those ``batch * workers`` rows. Workers get disjoint runs of ranks.
+    A small claim is one bounded top-k, and the ranking window sees only its rows.
+    A large one is ranked in pieces (:func:`_rank_in_pieces`). Workers get disjoint
+    runs of ranks.
     """
     order = [F.col("rank_score").desc(), F.col("retries"), F.col("id")]
-    top = (
-        with_rank(claimable(queue))
-        .select("id", "rank_score", "retries")
-        .orderBy(*order)
-        .limit(batch * workers)
-    )
-    ranked = top.withColumn("claim_rank", F.row_number().over(Window.orderBy(*order)))
+    wanted = batch * workers
+    open_ = with_rank(claimable(queue)).select("id", "rank_score", "retries")
+    if wanted <= BROADCAST_ROWS:
+        ranked = open_.orderBy(*order).limit(wanted).withColumn(
+            "claim_rank", F.row_number().over(Window.orderBy(*order))
+        )
+    else:
+        ranked = _rank_in_pieces(open_, wanted)
     return ranked.select(
         "id",
         F.col("claim_rank").cast("bigint").alias("claim_rank"),
@@ -145,6 +147,35 @@ def claim_set(queue: DataFrame, batch: int, workers: int = 1) -> DataFrame:
     )
 
 
+def _rank_in_pieces(open_: DataFrame, wanted: int) -> DataFrame:
+    """The first ``wanted`` rows in claim order with their rank, without one task
+    seeing them all.
+
+    Rows of equal rank score and retries are cut into runs of a million ids. Only
+    the sizes of these pieces are added up in order; rows are numbered within their
+    piece, and pieces that start beyond the last wanted rank are never touched.
+    """
+    piece = F.struct(
+        (-F.col("rank_score")).alias("worst"),
+        "retries",
+        F.shiftright("id", 20).alias("run"),
+    )
+    cut = open_.withColumn("piece", piece)
+    ahead = Window.orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        cut.groupBy("piece")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select("piece", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("start"))
+        .filter(F.col("start") < wanted)
+    )
+    within = Window.partitionBy("piece").orderBy("id")
+    return (
+        cut.join(starts, "piece")
+        .withColumn("claim_rank", F.row_number().over(within) + F.col("start"))
+        .filter(F.col("claim_rank") <= wanted)
+    )
+
+
 def apply_claims(queue: DataFrame, claims: DataFrame, at: Column, bound: int) -> DataFrame:
     """Mark the claimed rows in progress. ``bound`` is the size limit of ``claims``."""
     hit = F.col("claim_rank").isNotNull()

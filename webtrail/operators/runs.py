@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .quantiles import exact_quantile
+from .quantiles import exact_quantile, match_on
 
 SUMMARY_COLUMNS = [
     "name", "fetched", "total", "avg_ms", "p95_ms", "pages_per_sec", "pages_per_min",
@@ -35,7 +35,7 @@ def run_totals(log: DataFrame, run: str = "run") -> DataFrame:
         F.coalesce(F.sum("bytes"), F.lit(0)).alias("total_bytes"),
     )
     p95 = exact_quantile(log, [run], "ms", name="p95_ms").select(run, "p95_ms")
-    return totals.join(p95, run, "left").withColumn("p95_ms", F.coalesce("p95_ms", F.lit(0.0)))
+    return match_on(totals, p95, [run], "left").withColumn("p95_ms", F.coalesce("p95_ms", F.lit(0.0)))
 
 
 def extraction_stats(extracted: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -50,10 +50,9 @@ def extraction_stats(extracted: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def run_summary(log: DataFrame, extracted: DataFrame, run: str = "run") -> DataFrame:
     """Fetch totals of each run beside its extraction totals; both sides are
     aggregated before they meet."""
-    return (
-        run_totals(log, run)
-        .join(extraction_stats(extracted, [run]).drop("avg_chars"), run, "left")
-        .na.fill(0, ["extracted_docs", "total_chars"])
+    texts = extraction_stats(extracted, [run]).drop("avg_chars")
+    return match_on(run_totals(log, run), texts, [run], "left").na.fill(
+        0, ["extracted_docs", "total_chars"]
     )
 
 

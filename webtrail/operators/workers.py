@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..params import DEFAULTS, Params
 from ..session import cut_lineage
-from .quantiles import exact_quantile, running_quantile, running_totals
+from .quantiles import exact_quantile, match_on, running_quantile, running_totals
 
 METRICS = ("processed_count", "failed_count", "frontier_enqueued")
 
@@ -41,7 +41,7 @@ def worker_metrics(outcomes: DataFrame, depth: Column | None = None) -> DataFram
         _mean(F.sum(_exact(F.col("latency_"))), F.count("latency_")).alias("avg_latency_ms"),
     )
     p95 = exact_quantile(marked, ["worker"], "latency_", name="p95_").select("worker", "p95_")
-    out = totals.join(p95, "worker", "left").select(
+    out = match_on(totals, p95, ["worker"], "left").select(
         *totals.columns,
         F.coalesce("p95_", F.lit(0.0)).cast("decimal(10,2)").alias("p95_latency_ms"),
     )
@@ -58,7 +58,7 @@ def metric_snapshots(outcomes: DataFrame, params: Params = DEFAULTS) -> DataFram
     """
     ordered = outcomes.withColumns(
         {
-            "chunk_": F.date_trunc("hour", "ts"),
+            "chunk_": F.date_trunc("minute", "ts"),
             "cents_": F.when(
                 _done(), (F.col("latency_ms").cast("decimal(10,2)") * 100).cast("bigint")
             ),
@@ -113,7 +113,7 @@ def metric_snapshots(outcomes: DataFrame, params: Params = DEFAULTS) -> DataFram
         "m", "processed_count"
     )
     return (
-        snapshots.join(p95, ["worker", "processed_count"], "left")
+        match_on(snapshots, p95, ["worker", "processed_count"], "left")
         .withColumn(
             "p95_latency_ms",
             (F.coalesce("p95_code", F.lit(0)) / 100).cast("decimal(10,2)"),

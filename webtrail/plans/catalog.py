@@ -44,7 +44,7 @@ def at() -> Column:
 
 QUERIES: dict[str, Query] = {}
 CLAIM_BATCH, WORKERS = DEFAULTS.claim_batch, 4
-REPLAY_ROUNDS, REPLAY_BATCH = 3, 40
+REPLAY_ROUNDS = 3
 
 
 def query(fn: Query) -> Query:
@@ -302,10 +302,12 @@ def r6d(name: str) -> Column:
 
 
 def outcomes_of(queue: DataFrame) -> DataFrame:
-    """Outcome of every second URL: three in four of those done, the rest failed."""
-    return queue.filter(F.col("id") % 2 == 0).select(
+    """Outcome of every pending URL; those with a low score got no answer."""
+    return queue.filter("status = 'pending'").select(
         "id",
-        F.when(F.col("id") % 8 == 6, F.concat(F.lit("no answer from "), F.col("url"))).alias("error"),
+        F.when(F.col("geo_score") < 0.25, F.concat(F.lit("no answer from "), F.col("url"))).alias(
+            "error"
+        ),
     )
 
 
@@ -493,14 +495,10 @@ def process_discoveries(spark, sf):
 
 @query
 def replay_rounds(spark, sf):
-    pages = linked_of(spark, sf)
-    seeds = pages.filter(F.col("page_id") % 5 == 0).select(
-        F.col("page_id").alias("pos"), U.canonicalize_url(F.col("url")).alias("url")
-    )
-    start = Q.enqueue_seeds(
-        spark.createDataFrame([], Q.QUEUE_SCHEMA), seeds, at(), first_id=0
-    )
-    end = T.replay(start, pages, at(), REPLAY_ROUNDS, REPLAY_BATCH, first_id=1 << 40)
+    """Three rounds over the stored corpus, each claiming a quarter of the queue."""
+    start = queue_of(spark, sf)
+    batch = max(CLAIM_BATCH, start.count() // 4)
+    end = T.replay(start, linked_of(spark, sf), at(), REPLAY_ROUNDS, batch, first_id=1 << 40)
     return end.select(
         "url", "status", big("priority"), r6d("geo_score"), "source", big("depth"), big("retries")
     )

@@ -443,7 +443,7 @@ ORACLES["seed_enqueue"] = on_queue(
 )
 ORACLES["mark_done"] = on_queue(
     changed(
-        "(SELECT *, id % 2 = 0 AND id % 8 <> 6 AS hit FROM queue)",
+        "(SELECT *, status = 'pending' AND geo_score >= 0.25 AS hit FROM queue)",
         status="CASE WHEN hit THEN 'done' ELSE status END",
         processed_at=f"CASE WHEN hit THEN {AT} ELSE processed_at END",
         updated_at=f"CASE WHEN hit THEN {AT} ELSE updated_at END",
@@ -451,7 +451,7 @@ ORACLES["mark_done"] = on_queue(
 )
 ORACLES["mark_failed"] = on_queue(
     changed(
-        "(SELECT *, id % 8 = 6 AS hit FROM queue)",
+        "(SELECT *, status = 'pending' AND geo_score < 0.25 AS hit FROM queue)",
         status="CASE WHEN hit AND retries + 1 >= max_retries THEN 'failed' WHEN hit THEN 'pending' ELSE status END",
         retries="CASE WHEN hit THEN retries + 1 ELSE retries END",
         error="CASE WHEN hit THEN left(concat('no answer from ', url), 4096) ELSE error END",

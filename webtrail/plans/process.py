@@ -18,8 +18,12 @@ from .pages import analyze_links, analyze_pages
 
 # Fixed value: message of a URL that could not be fetched.
 NO_PAGE = "fetch failed or timeout"
-# Arrival order: rank of the page in the batch times this, plus the link's place.
-STRIDE = 1 << 20
+
+
+def stride(params: Params) -> int:
+    """Arrival order is the rank of the page times this, plus the link's place: a
+    power of two with room for all links of a page and for its own settling."""
+    return 1 << (params.max_links + 1).bit_length()
 
 
 def page_by_url(pages: DataFrame, key: str = "page_id", url: str = "url") -> DataFrame:
@@ -74,12 +78,12 @@ def process_pages(
     )
     links = with_candidates(analyzed.filter(F.col("depth") < params.max_depth), params=params)
     discoveries = as_discoveries(
-        worth_queueing(expand(links, ["id", "claim_rank"], "depth", params), params)
+        worth_queueing(expand(links, ["id", "claim_rank"], "depth", params), params), params
     )
     return Processed(outcomes, extractions, discoveries)
 
 
-def as_discoveries(candidates: DataFrame) -> DataFrame:
+def as_discoveries(candidates: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """Candidates of claimed pages in the form :func:`upsert_discovered` takes."""
     return candidates.select(
         F.col("child").alias("url"),
@@ -88,7 +92,7 @@ def as_discoveries(candidates: DataFrame) -> DataFrame:
         F.concat(F.lit("frontier:"), F.col("reason")).alias("source"),
         (F.col("depth") + 1).alias("depth"),
         F.col("id").alias("parent_url_id"),
-        (F.col("claim_rank") * STRIDE + F.col("ord")).cast("bigint").alias("ord"),
+        (F.col("claim_rank") * stride(params) + F.col("ord")).cast("bigint").alias("ord"),
     )
 
 
@@ -128,14 +132,15 @@ def replay_round(
         "id",
         F.when(F.col(key).isNull(), F.lit(NO_PAGE)).alias("failure"),
         # a page is settled after all its own links have arrived
-        (F.col("claim_rank") * STRIDE + (STRIDE - 1)).cast("bigint").alias("settled_ord"),
+        ((F.col("claim_rank") + 1) * stride(params) - 1).cast("bigint").alias("settled_ord"),
     )
     settled = Q.apply_outcomes(claimed, outcomes, at, extra=["settled_ord"], bound=batch)
     parents = claims.filter(F.col(key).isNotNull() & (F.col("depth") < params.max_depth))
     found = as_discoveries(
         edges.join(
             Q.bounded(parents.select(key, "id", "depth", "claim_rank"), batch), key
-        ).withColumn("priority", priority(F.col("geo_score"), F.col("depth")))
+        ).withColumn("priority", priority(F.col("geo_score"), F.col("depth"))),
+        params,
     )
     return Q.upsert_discovered(settled, found, at, first_id, settled="settled_ord", revisit=revisit)
 
@@ -162,7 +167,7 @@ def replay(
     for number in range(max_rounds):
         queue = cut_lineage(
             replay_round(
-                queue, lookup, edges, at, first_id + number * (batch + 1) * STRIDE, batch, key,
+                queue, lookup, edges, at, first_id + number * (batch + 2) * stride(params), batch, key,
                 params, revisit,
             )
         )

@@ -10,7 +10,7 @@ from ..operators import queue as Q
 from ..operators.links import frontier_candidates
 from ..params import DEFAULTS, Params
 from ..plans.pages import analyze_pages
-from ..plans.process import STRIDE, as_discoveries
+from ..plans.process import as_discoveries
 
 PAGE_STREAM_SCHEMA = "page_id BIGINT, url STRING, html STRING"
 
@@ -50,7 +50,7 @@ def batch_discoveries(pages: DataFrame, params: Params = DEFAULTS) -> DataFrame:
         {"id": F.col("page_id"), "depth": F.lit(0), "claim_rank": F.col("page_id")}
     )
     found = frontier_candidates(analyzed, ["id", "claim_rank"], params=params)
-    return as_discoveries(found.filter(F.col("geo_score") >= params.score_threshold))
+    return as_discoveries(found.filter(F.col("geo_score") >= params.score_threshold), params)
 
 
 def update_queue(
@@ -72,7 +72,7 @@ def update_queue(
         spark = batch.sparkSession
         queue = spark.read.schema(Q.QUEUE_SCHEMA).parquet(snapshot_path(queue_folder, number))
         merged = Q.upsert_discovered(
-            queue, batch_discoveries(batch, params), at, first_id + number * STRIDE * STRIDE
+            queue, batch_discoveries(batch, params), at, first_id + (number << 40)
         )
         merged.write.parquet(snapshot_path(queue_folder, number + 1), mode="overwrite")
 
