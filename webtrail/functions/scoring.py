@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..params import DEFAULTS, Params
-from .text import clamp, keyword_hits
+from .text import clamp, element_term_count, keyword_hits
 
 # Path-depth penalty, reason levels, priority bonus.
 FREE_SLASHES, SLASH_PENALTY, MAX_PENALTY = 5, 0.05, 0.28
@@ -16,11 +16,13 @@ DEPTH_BONUS, DEPTH_STEP = 20, 6
 
 
 def geo_part(lowered: Column, params: Params = DEFAULTS) -> Column:
-    return clamp(keyword_hits(lowered, params.geo_terms) * F.lit(params.link_geo_gain))
+    found = element_term_count(lowered, params.geo_terms)
+    return clamp(keyword_hits(found, params.geo_terms) * F.lit(params.link_geo_gain))
 
 
 def noise_part(lowered: Column, params: Params = DEFAULTS) -> Column:
-    return clamp(keyword_hits(lowered, params.noise_terms) * F.lit(params.link_noise_gain))
+    found = element_term_count(lowered, params.noise_terms)
+    return clamp(keyword_hits(found, params.noise_terms) * F.lit(params.link_noise_gain))
 
 
 def slash_penalty(path: Column) -> Column:

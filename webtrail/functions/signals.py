@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..params import DEFAULTS, JSON_LD_MARK, STRUCTURED_TERMS, Params
-from .text import clamp, has_any, head, keyword_hits, recent_year
+from .text import clamp, element_has_any, has_any, head, keyword_hits, recent_year, term_count
 
 SIGNALS = (
     "geo_term_density",
@@ -51,13 +51,14 @@ def with_signals(
     strong = F.size(
         F.filter(
             F.transform(page["links"], lambda a: F.lower(F.concat_ws(" ", a["href"], a["text"]))),
-            lambda text: has_any(text, params.geo_terms),
+            lambda text: element_has_any(text, params.geo_terms),
         )
     )
     counted = F.greatest(F.lit(1), F.least(F.size(page["links"]), F.lit(COUNTED_LINKS)))
     signals = F.struct(
         clamp(
-            keyword_hits(F.col("_lowered"), params.geo_terms) * F.lit(params.density_gain)
+            keyword_hits(term_count(F.col("_lowered"), params.geo_terms), params.geo_terms)
+            * F.lit(params.density_gain)
         ).alias(SIGNALS[0]),
         F.greatest(
             F.when(F.coalesce(page["article_date"], F.lit("")) != "", F.lit(DATED)).otherwise(0.0),

@@ -7,6 +7,7 @@ no-break space and its relatives, so the class is spelled out.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -21,7 +22,8 @@ WS = r"[\s\p{Z}\x1c-\x1f\x85]"
 
 # A word character, and a year from 2024 to 2039 standing alone.
 WORD = r"[\p{L}\p{N}_]"
-RECENT_YEAR = rf"(?<!{WORD})(202[4-9]|203\p{{Nd}})(?!{WORD})"
+# The look back comes after the first literal, so it runs only where a year may start.
+RECENT_YEAR = rf"20(?<!{WORD}20)(?:2[4-9]|3\p{{Nd}})(?!{WORD})"
 
 # Fixed value: what a float literal may look like as text.
 _DIGITS = r"[0-9](?:_?[0-9])*"
@@ -93,21 +95,37 @@ def unit_float(text: Column, default: float = 0.0) -> Column:
 
 
 def has_any(text: Column, terms: Sequence[str]) -> Column:
-    return F.exists(F.lit(list(terms)), lambda term: F.contains(text, term))
+    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(t)) for t in terms])
 
 
-def term_count(lowered: Column, terms: Sequence[str]) -> Column:
+def term_count(text: Column, terms: Sequence[str]) -> Column:
     """How many of the terms occur as substrings; each term counts once."""
-    return F.size(F.filter(F.lit(list(terms)), lambda term: F.contains(lowered, term)))
+    return reduce(
+        lambda a, b: a + b, [F.contains(text, F.lit(t)).cast("int") for t in terms]
+    )
+
+
+# The next two run over the list of terms. They are short to plan, but meant for the
+# variable of a lambda: the expression behind a plain column may be moved into the inner
+# lambda by the optimizer, and would then be computed again for every term.
+
+
+def element_has_any(element: Column, terms: Sequence[str]) -> Column:
+    return F.exists(F.lit(list(terms)), lambda term: F.contains(element, term))
+
+
+def element_term_count(element: Column, terms: Sequence[str]) -> Column:
+    return F.size(F.filter(F.lit(list(terms)), lambda term: F.contains(element, term)))
 
 
-def keyword_hits(lowered: Column, terms: Sequence[str]) -> Column:
-    """Term count relative to 35 % of the list (at least 1)."""
-    return term_count(lowered, terms) / F.lit(max(1.0, len(terms) * 0.35))
+def keyword_hits(count: Column, terms: Sequence[str]) -> Column:
+    """A term count relative to 35 % of the list (at least 1)."""
+    return count / F.lit(max(1.0, len(terms) * 0.35))
 
 
 def recent_year(text: Column) -> Column:
-    return text.rlike(RECENT_YEAR)
+    """A cheap substring test keeps the pattern away from most texts."""
+    return has_any(text, ("202", "203")) & text.rlike(RECENT_YEAR)
 
 
 def char_count(text: Column) -> Column:

@@ -130,7 +130,8 @@ def with_candidates(
     ).otherwise(F.col("_own"))
     parent_host = F.lower(F.col("_base")["netloc"])
     scored = (
-        base.withColumn("_unique", dedup_first(_usable(settled_links(some))))
+        base.withColumn("_pool", some)
+        .withColumn("_unique", dedup_first(_usable(settled_links(F.col("_pool")))))
         .withColumn(
             "_scored",
             scored_links(F.col("_unique"), parent_host, params),
@@ -161,7 +162,7 @@ def with_candidates(
                 i.alias("ord"),
             ),
         ),
-    ).drop("_base", "_own", "_unique", "_scored", "_ranked")
+    ).drop("_base", "_own", "_pool", "_unique", "_scored", "_ranked")
 
 
 def expand(df: DataFrame, keep: list[str], depth: str | None = None, params: Params = DEFAULTS) -> DataFrame:

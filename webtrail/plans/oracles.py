@@ -24,7 +24,7 @@ DESCRIPTION = f"(?i)<meta{WS}+name=[\"'']description[\"''][^>]*content=[\"'']([^
 TITLE = "(?i)<title[^>]*>([^<]+)</title>"
 WORD = r"[\p{L}\p{N}_]"
 YEAR = rf"(^|[^\p{{L}}\p{{N}}_])(202[4-9]|203\p{{Nd}})($|[^\p{{L}}\p{{N}}_])"
-PARTS = H_PARTS = r"^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?"
+PARTS = r"^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?"
 AT = "TIMESTAMP '2024-02-01 00:00:00'"
 ORACLES: dict[str, str] = {}
 
@@ -233,6 +233,57 @@ ORACLES["page_payload"] = payload_row("SELECT * FROM pages")
 ORACLES["linked_payload"] = payload_row(LINKED)
 
 
+# Every non-word character is doubled, so that a boundary consumed by one place name is
+# still there for the next.
+_PLACE = rf"(?:^|[^\p{{L}}\p{{N}}_])([A-Z][a-z]+(?:{WS}+[A-Z][a-z]+){{0,2}})(?:$|[^\p{{L}}\p{{N}}_])"
+ORACLES["location_hints"] = f"""
+SELECT page_id, to_json(list_transform(
+         regexp_extract_all(regexp_replace(left(left(text, 10000), 2500), '([^\\p{{L}}\\p{{N}}_])', '\\1\\1', 'g'),
+                            '{_PLACE}', 1)[1:10],
+         lambda x: replace(x, '  ', ' ')))::VARCHAR AS location_hints
+FROM (SELECT page_id, {text_of('html')} AS text FROM pages)"""
+
+
+def _attribute(name: str) -> str:
+    pattern = (
+        f"(?i)(?:^|[^\\p{{L}}\\p{{N}}_]){name}{WS}*={WS}*[\"'']([^\"'']*)[\"'']"
+    )
+    return (
+        f"CASE WHEN regexp_matches(rest, '{pattern}') THEN concat(' {name}=\"', "
+        f"left(regexp_extract(rest, '{pattern}', 1), 80), '\"') ELSE '' END"
+    )
+
+
+_OPEN = f"<({WORD}+)([^>]*)>"
+_BARE = "html"
+for _tag in ("script", "style"):
+    _BARE = f"regexp_replace({_BARE}, '(?i)<{_tag}[^>]*>[\\s\\S]*?</{_tag}>', '', 'g')"
+_SUMMARY = f"""
+SELECT page_id, url, CASE WHEN length(s) > 50000 THEN concat(left(s, 50000), chr(10), '... [truncated]') ELSE s END AS s
+FROM (
+  SELECT page_id, any_value(url) AS url, string_agg(concat(gap, tag), '' ORDER BY i) AS s
+  FROM (
+    SELECT page_id, url, i, gap,
+           CASE WHEN name IS NULL THEN '' ELSE concat('<', lower(name),
+             {", ".join(_attribute(n) for n in H.SUMMARY_ATTRIBUTES)}, '>') END AS tag
+    FROM (
+      SELECT page_id, url, unnest(gaps) AS gap, unnest(names) AS name, unnest(rests) AS rest,
+             generate_subscripts(gaps, 1) AS i
+      FROM (
+        SELECT page_id, url, regexp_split_to_array(bare, '{_OPEN}') AS gaps,
+               regexp_extract_all(bare, '{_OPEN}', 1) AS names,
+               regexp_extract_all(bare, '{_OPEN}', 2) AS rests
+        FROM (SELECT page_id, url, {_BARE} AS bare FROM pages))))
+  GROUP BY page_id)"""
+ORACLES["dom_summary"] = with_(("made", _SUMMARY)) + (
+    "SELECT page_id, length(s) AS chars, md5(s) AS md5 FROM made"
+)
+ORACLES["model_request_table"] = with_(("made", _SUMMARY)) + """
+SELECT page_id, length(r) AS chars, md5(r) AS md5
+FROM (SELECT page_id, concat('Analyze and extract structured content from this page.', chr(10), chr(10),
+             'URL: ', url, chr(10), 'DOM summary:', chr(10), s, chr(10)) AS r FROM made)"""
+
+
 def raw(source: str) -> str:
     return f"""
     SELECT page_id, url, n, {strip('left(href, 2048)')} AS href, text
