@@ -1,3 +1,4 @@
+import datetime as dt
 import tempfile
 from pathlib import Path
 
@@ -78,3 +79,21 @@ def test_html_guess_and_status(spark):
         H.fetch_status(F.lit(None), F.lit(399)).alias("z"), H.media_type(F.lit(" text/html ; q=1")).alias("m"),
     ).first()
     assert tuple(row) == ("error", "http_error", "ok", "text/html")
+
+
+def test_extracted_documents_are_kept_as_rows(spark):
+    base = folder()
+    rows = spark.createDataFrame([(1, "http://a/", "<p>one two</p>"), (2, "http://b/", "")], "id bigint, url string, html string")
+    SF.write_extracted(SF.extract_documents(rows), str(base / "out"))
+    back = spark.read.schema(SF.EXTRACTED_SCHEMA).parquet(str(base / "out")).collect()
+    assert [(r.id, r.url, r.chars, r.words, r.text) for r in back] == [(1, "http://a/", 7, 2, "one two")]
+
+
+def test_newest_extraction_replaces_the_row(spark):
+    from webtrail.plans.process import store_extractions
+
+    schema = "url_id bigint, page_id bigint, payload string, extracted_at timestamp_ntz"
+    old = spark.createDataFrame([(1, 10, "old", dt.datetime(2024, 1, 1)), (2, 20, "kept", dt.datetime(2024, 1, 1))], schema)
+    new = spark.createDataFrame([(1, 11, "new", dt.datetime(2024, 1, 2))], schema)
+    got = {r.url_id: (r.page_id, r.payload) for r in store_extractions(old, new).collect()}
+    assert got == {1: (11, "new"), 2: (20, "kept")}
