@@ -56,15 +56,11 @@ def url_list(spark: SparkSession, path: str, blank_lines: str = "empty") -> Data
 
 
 def url_table(spark: SparkSession, path: str) -> DataFrame:
-    """``pos, url`` from any number of list files; ``pos`` is a hash of the URL, so no
-    global numbering is needed and equal URLs fall together."""
-    return (
-        spark.read.text(path)
-        .filter(F.col("value").rlike(f"{WS[:1]}^{WS[1:]}"))
-        .select(
-            F.pmod(F.xxhash64("value"), F.lit(1 << 53)).alias("pos"), F.col("value").alias("url")
-        )
-    )
+    """``pos, url`` from any number of list files. ``pos`` is unique and grows within each
+    split of the files, so no task has to number all lines."""
+    return spark.read.text(path).select(
+        F.monotonically_increasing_id().alias("pos"), F.col("value").alias("url")
+    ).filter(F.col("url").rlike(f"{WS[:1]}^{WS[1:]}"))
 
 
 # ---------------------------------------------------------------------------
