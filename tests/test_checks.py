@@ -7,6 +7,7 @@ import pytest
 
 import check
 from __spark_entry__ import entry, oracle_sql, queries
+from webtrail.plans.catalog import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +20,7 @@ def con(sf_dir):
 
 # Minutes of iteration and streams that other tests also cover; FULL_CHECKS=1 runs them too.
 LONG = {"latest_metrics", "replay_rounds", "process_extractions", "process_outcomes", "stream_pages"}
-NAMES = [n for n in sorted(queries()) if os.environ.get("FULL_CHECKS") or n not in LONG]
+NAMES = [n for n in sorted(QUERIES) if os.environ.get("FULL_CHECKS") or n not in LONG]
 
 
 @pytest.mark.parametrize("name", NAMES)
