@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .simhash import op8_simhash
+from .suffixes import op2_suffixes
 
-QUERIES = {f.__name__: f for f in (op8_simhash,)}
+QUERIES = {f.__name__: f for f in (op2_suffixes, op8_simhash)}
 ORACLES: dict[str, str] = {}
