@@ -8,6 +8,8 @@ from contextlib import contextmanager
 from uuid import uuid4
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,6 +56,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def text_pieces(batch: pa.RecordBatch, column: int, most: int) -> Iterator[tuple[pa.RecordBatch, int]]:
+    """(rows, bytes) of pieces whose texts have at most ``most`` bytes, or of one longer text."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    total = np.cumsum(sizes, dtype=np.int64)
+    at = 0
+    while at < len(sizes):
+        before = int(total[at - 1]) if at else 0
+        end = max(at + 1, int(np.searchsorted(total, before + most, side="right")))
+        yield batch.slice(at, end - at), int(total[end - 1]) - before
+        at = end
+
+
 def planes(values: np.ndarray) -> bytes:
     """Integers byte plane by byte plane, so that small ones compress to little."""
     return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()

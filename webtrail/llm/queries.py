@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from .packing import op10_packing
 from .simhash import op8_simhash
 from .suffixes import op2_suffixes
 
-QUERIES = {f.__name__: f for f in (op2_suffixes, op8_simhash)}
+QUERIES = {f.__name__: f for f in (op2_suffixes, op8_simhash, op10_packing)}
 ORACLES: dict[str, str] = {}

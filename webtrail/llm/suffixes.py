@@ -38,11 +38,10 @@ import struct
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import NO_ID, from_planes, planes, written
+from .common import NO_ID, from_planes, planes, text_pieces, written
 
 WINDOW = 100
 PERIOD = 57
@@ -279,18 +278,6 @@ def _to_documents(ids, tags, offs, q: int, kind: int) -> list[tuple]:
     return _dealt(np.mod(ids, q), kind, lambda r: pack(ids[r], tags[r], offs[r]))
 
 
-def _pieces(batch: pa.RecordBatch, column: int):
-    """(rows, bytes) of pieces whose texts have about ``CHUNK_BYTES``, or of one longer text."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-    total = np.cumsum(sizes, dtype=np.int64)
-    at = 0
-    while at < len(sizes):
-        before = int(total[at - 1]) if at else 0
-        end = max(at + 1, int(np.searchsorted(total, before + CHUNK_BYTES, side="right")))
-        yield batch.slice(at, end - at), int(total[end - 1]) - before
-        at = end
-
-
 def _texts(batches, sizes=CHUNK_BYTES):
     """Layouts of about ``sizes`` bytes from batches of (id, tag, text)."""
     held, n = [], 0
@@ -302,7 +289,7 @@ def _texts(batches, sizes=CHUNK_BYTES):
         )
 
     for batch in batches:
-        for piece, size in _pieces(batch, 2):
+        for piece, size in text_pieces(batch, 2, CHUNK_BYTES):
             held.append(piece)
             n += size
             if n >= sizes:
@@ -430,7 +417,7 @@ def _groups(batches):
             if kinds[a] != 9:
                 blobs += list(zip(piece.column(1).to_pylist(), piece.column(2).to_pylist()))
             else:
-                for some, size in _pieces(piece, 5):
+                for some, size in text_pieces(piece, 5, CHUNK_BYTES):
                     if held and n + size > CHUNK_BYTES:
                         yield blobs, pa.Table.from_batches(held)
                         held, n = [], 0
