@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from .decontaminate import op9_decontamination
 from .packing import op10_packing
 from .simhash import op8_simhash
 from .suffixes import op2_suffixes
+from .toxicity import op7_toxicity
 
-QUERIES = {f.__name__: f for f in (op2_suffixes, op8_simhash, op10_packing)}
+QUERIES = {f.__name__: f for f in (op2_suffixes, op7_toxicity, op8_simhash, op9_decontamination, op10_packing)}
 ORACLES: dict[str, str] = {}
