@@ -87,7 +87,7 @@ def test_hashing_in_segments():
 def test_carried_columns_and_kept_text(spark):
     docs = documents(spark, [(1, "a" * 150), (2, "b" + "a" * 120), (3, "c")])
     rows = S.remove_repeats(docs, carry=["lang", "n_chars"]).orderBy("doc_id").collect()
-    assert [bytes(r.kept) for r in rows] == [b"a", b"b", b"c"]
+    assert [r.kept for r in rows] == ["a", "b", "c"]
     assert [(r.lang, r.n_chars) for r in rows] == [("en", 150), ("en", 121), ("en", 1)]
 
 

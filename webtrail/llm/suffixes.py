@@ -507,10 +507,11 @@ def _window_ranks(windows: DataFrame, q: int) -> DataFrame:
     return sorted_in.mapInArrow(rank, ROWS)
 
 
-def remove_repeats(docs: DataFrame, carry: list[str] = (), keep_bytes: bool = True) -> DataFrame:
+def remove_repeats(docs: DataFrame, carry: list[str] = (), keep: bool = True) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` and the columns named in ``carry``.
 
-    ``kept`` has the bytes that stay (null unless ``keep_bytes``). One row for each input row.
+    ``kept`` has the text that stays (null unless ``keep``), without the parts of characters
+    that a cut has left; the hash is over all bytes that stay. One row for each input row.
     """
     spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -542,7 +543,7 @@ def remove_repeats(docs: DataFrame, carry: list[str] = (), keep_bytes: bool = Tr
                 out = gone[at : at + size]
                 kept = x.layout[at : at + size][~out].astype(np.uint8).tobytes()
                 spans = int(np.count_nonzero(np.diff(np.r_[False, out].astype(np.int8)) == 1))
-                rows.append((size, size - len(kept), spans, hashlib.sha256(kept).hexdigest(), kept if keep_bytes else None))
+                rows.append((size, size - len(kept), spans, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore") if keep else None))
             rest = table["rest"].combine_chunks().take(pa.array(x.order))
             cols = list(zip(*rows))
             yield pa.RecordBatch.from_arrays(
@@ -550,12 +551,12 @@ def remove_repeats(docs: DataFrame, carry: list[str] = (), keep_bytes: bool = Tr
                     rest.chunk(0) if isinstance(rest, pa.ChunkedArray) else rest,
                     *(pa.array(c, pa.int64()) for c in cols[:3]),
                     pa.array(cols[3], pa.string()),
-                    pa.array(cols[4], pa.binary()),
+                    pa.array(cols[4], pa.string()),
                 ],
                 ["rest", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"],
             )
 
-    shape = f"rest {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+    shape = f"rest {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
     out = _beside(docs, removed, q, carry).mapInArrow(run, shape)
     return out.select(
         "rest.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", *(f"rest.{c}" for c in carry)
@@ -565,4 +566,4 @@ def remove_repeats(docs: DataFrame, carry: list[str] = (), keep_bytes: bool = Tr
 def op2_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is removed from every document, and the hash of what stays."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return remove_repeats(docs, keep_bytes=False).drop("kept")
+    return remove_repeats(docs, keep=False).drop("kept")
