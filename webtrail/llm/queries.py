@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
+from . import sharding, url_filter
 from .decontaminate import op9_decontamination
 from .packing import op10_packing
+from .sharding import op5_sharding
 from .simhash import op8_simhash
 from .suffixes import op2_suffixes
 from .toxicity import op7_toxicity
+from .url_filter import op6_url_filter
 
-QUERIES = {f.__name__: f for f in (op2_suffixes, op7_toxicity, op8_simhash, op9_decontamination, op10_packing)}
-ORACLES: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_suffixes, op5_sharding, op6_url_filter, op7_toxicity, op8_simhash, op9_decontamination,
+        op10_packing,
+    )
+}
+ORACLES: dict[str, str] = {"op5_sharding": sharding.ORACLE, "op6_url_filter": url_filter.ORACLE}
