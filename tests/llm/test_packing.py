@@ -21,6 +21,7 @@ def tokenizer():
 ODD = [
     None, "", " ", "\n\t \r", "A b\x1cc\x85d\xa0e f", "<|endoftext|> x<|startoftext|>y", "é ́x ÉÀ İ ẞ Σς",
     "it's we'll I'D", "12 345,6!! ***", "x" * 5000, "日本語のテキスト　全角", "\x00﻿ a\x0bb\x0cc", "y " * 9000,
+    "İ, x̂. a'. naïve!! ’. don't, 'S'. (A) \"B\" <|endoftext|>. <|startoftext|>, ÉÉ?! ß. Ⅻ. ²: a_b_ _ __, <|x|>.",
 ]
 
 

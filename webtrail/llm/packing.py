@@ -32,10 +32,11 @@ CAPACITY = 2048
 END_ID = 0
 TOKENIZER = "word_bpe_49k.json"
 #: Words whose ids a worker remembers; beyond that it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 700_000
 #: Longer words are encoded for each batch.
 LONGEST_REMEMBERED = 48
-BLANKS = str.maketrans({"\n": " ", "\t": " ", "\r": " "})
+#: ASCII symbols but the apostrophe, which can begin an ending.
+SYMBOLS = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -48,7 +49,9 @@ class Encoder:
     """Token ids of texts, word by word.
 
     The tokenizer never merges across white space and drops it, so a text's ids are those of
-    its words one after another. Words repeat, so their ids are remembered.
+    its words one after another. It does not merge letters or digits with symbols either, so
+    symbols that end a word have ids of their own (``stem``). Words and stems repeat; their ids
+    are remembered.
     """
 
     def __init__(self, path: str):
@@ -56,24 +59,50 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
+        self.words: dict[str, bytes] = {"": b""}
+        self.stems: dict[str, bytes] = {"": b""}
+
+    def _learn(self, words: set[str]) -> None:
+        split = [(w, *stem(w)) for w in words]
+        new = [x for x in {p for _, *parts in split for p in parts} if x not in self.stems]
+        for part, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+            self.stems[part] = np.array(found.ids, "<u4").tobytes()
+        for word, head, tail in split:
+            self.words[word] = self.stems[head] + self.stems[tail]
+        for part in new:
+            if len(part) > LONGEST_REMEMBERED:
+                del self.stems[part]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        split = [(t or "").translate(BLANKS).split(" ") for t in texts]
+        split = [
+            (t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts
+        ]
         words = set().union(*split)
-        if len(self.known) + len(words) > REMEMBERED:
-            self.known = {"": b""}
-        new = list(words - self.known.keys())
-        for word, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[word] = np.array(found.ids, "<u4").tobytes()
-        made = [b"".join(map(self.known.__getitem__, words)) for words in split]
+        for known in (self.words, self.stems):
+            if len(known) + len(words) > REMEMBERED:
+                known.clear()
+                known[""] = b""
+        new = words - self.words.keys()
+        self._learn(new)
+        made = [b"".join(map(self.words.__getitem__, words)) for words in split]
         for word in new:
             if len(word) > LONGEST_REMEMBERED:
-                del self.known[word]
+                del self.words[word]
         return made
 
 
+def stem(word: str) -> tuple[str, str]:
+    """The word without the ASCII symbols at its end, if it can be told apart; and these."""
+    head = word.rstrip(SYMBOLS)
+    if not head or len(head) == len(word) or "<|" in word:
+        return (word.lower() if word.isascii() and "<|" not in word else word), ""
+    last = head[-1]
+    if not last.isalnum() or last >= "\u0250" or len(last.lower()) != 1:
+        return word, ""
+    return (head.lower() if head.isascii() else head), word[len(head) :]
+
+
 _ENCODERS: dict[str, Encoder] = {}
 
 
