@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import sharding, url_filter
+from . import chat, sharding, url_filter
+from .chat import op4_chat
 from .decontaminate import op9_decontamination
 from .packing import op10_packing
 from .sharding import op5_sharding
@@ -10,12 +11,17 @@ from .simhash import op8_simhash
 from .suffixes import op2_suffixes
 from .toxicity import op7_toxicity
 from .url_filter import op6_url_filter
+from .vectors import op3_vectors
 
 QUERIES = {
     f.__name__: f
     for f in (
-        op2_suffixes, op5_sharding, op6_url_filter, op7_toxicity, op8_simhash, op9_decontamination,
-        op10_packing,
+        op2_suffixes, op3_vectors, op4_chat, op5_sharding, op6_url_filter, op7_toxicity, op8_simhash,
+        op9_decontamination, op10_packing,
     )
 }
-ORACLES: dict[str, str] = {"op5_sharding": sharding.ORACLE, "op6_url_filter": url_filter.ORACLE}
+ORACLES: dict[str, str] = {
+    "op4_chat": chat.ORACLE,
+    "op5_sharding": sharding.ORACLE,
+    "op6_url_filter": url_filter.ORACLE,
+}
