@@ -6,6 +6,7 @@ from . import chat, sharding, url_filter
 from .chat import op4_chat
 from .decontaminate import op9_decontamination
 from .packing import op10_packing
+from .rendering import op1_rendering
 from .sharding import op5_sharding
 from .simhash import op8_simhash
 from .suffixes import op2_suffixes
@@ -16,8 +17,8 @@ from .vectors import op3_vectors
 QUERIES = {
     f.__name__: f
     for f in (
-        op2_suffixes, op3_vectors, op4_chat, op5_sharding, op6_url_filter, op7_toxicity, op8_simhash,
-        op9_decontamination, op10_packing,
+        op1_rendering, op2_suffixes, op3_vectors, op4_chat, op5_sharding, op6_url_filter, op7_toxicity,
+        op8_simhash, op9_decontamination, op10_packing,
     )
 }
 ORACLES: dict[str, str] = {
