@@ -51,9 +51,9 @@ SIDE = PERIOD - 1
 SAMPLE = WINDOW - SIDE
 PASSES = 2
 #: Bytes of text whose suffixes make one bucket, and that a task settles by itself.
-BUCKET_BYTES = 8 << 20
-CHUNK_BYTES = 8 << 20
-SEGMENT = 1 << 20
+BUCKET_BYTES = 4 << 20
+CHUNK_BYTES = 3 << 20
+SEGMENT = 1 << 18
 PAD = 256
 
 
@@ -147,7 +147,7 @@ class Layout:
         ends = np.zeros(len(self.layout) + 1, np.int32)
         np.add.at(ends, self.starts[docs] + first, 1)
         np.add.at(ends, self.starts[docs] + last + 1, -1)
-        return np.cumsum(ends[:-1]) > 0
+        return np.cumsum(ends[:-1], dtype=np.int32) > 0
 
     def windows_through(self, docs, offs) -> np.ndarray:
         """Starts (marked over the layout) of the windows that hold the sample at each offset."""
