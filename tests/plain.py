@@ -167,18 +167,47 @@ def frontier(url, p, html, score, depth, max_depth=2, limit=16):
 
 
 def dom_summary(html, limit=50000):
+    """A walk from one angle bracket to the next."""
     for name in ("script", "style"):
-        html = re.sub(rf"<{name}[^>]*>[\s\S]*?</{name}>", "", html, flags=re.I)
-
-    def short(tag):
-        kept = ""
-        for name in ("id", "class", "role", "data-testid", "itemprop", "itemtype"):
-            value = re.search(rf"""\b{name}\s*=\s*["']([^"']*)["']""", tag[2], re.I)
-            kept += f' {name}="{value[1][:80]}"' if value else ""
-        return f"<{tag[1].lower()}{kept}>"
-
-    html = re.sub(r"<(\w+)([^>]*)>", short, html)
-    return html if len(html) <= limit else html[:limit] + "\n... [truncated]"
+        kept, low, at = "", html.lower(), 0
+        while (start := low.find("<" + name, at)) >= 0:
+            inside = low.find(">", start)
+            stop = low.find(f"</{name}>", inside) if inside >= 0 else -1
+            if stop < 0:
+                break
+            kept, at = kept + html[at:start], stop + len(name) + 3
+        html = kept + html[at:]
+    out, at = "", 0
+    while (start := html.find("<", at)) >= 0:
+        stop, end = html.find(">", start), start + 1
+        while end < len(html) and (html[end].isalnum() or html[end] == "_"):
+            end += 1
+        if stop < 0 or end == start + 1:
+            out, at = out + html[at : start + 1], start + 1
+            continue
+        rest = html[end:stop]
+        made = [f' {n}="{v[:80]}"' for n in SHOWN if (v := attribute(rest, n)) is not None]
+        out, at = out + html[at:start] + "<" + html[start + 1 : end].lower() + "".join(made) + ">", stop + 1
+    out += html[at:]
+    return out if len(out) <= limit else out[:limit] + "\n... [truncated]"
+
+
+SHOWN = ("id", "class", "role", "data-testid", "itemprop", "itemtype")
+
+
+def attribute(rest, name):
+    """Value of the first quoted attribute called ``name`` in any case, or None."""
+    low, at = rest.lower(), -1
+    while (at := low.find(name, at + 1)) >= 0:
+        if at and (rest[at - 1].isalnum() or rest[at - 1] == "_"):
+            continue
+        tail = rest[at + len(name) :].lstrip()
+        value = tail[1:].lstrip()
+        if tail[:1] == "=" and value[:1] in ("'", '"'):
+            ends = [i for q in "'\"" if (i := value.find(q, 1)) >= 0]
+            if ends:
+                return value[1 : min(ends)]
+    return None
 
 
 def floor_quantile(values, q=0.95):

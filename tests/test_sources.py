@@ -97,3 +97,16 @@ def test_newest_extraction_replaces_the_row(spark):
     new = spark.createDataFrame([(1, 11, "new", dt.datetime(2024, 1, 2))], schema)
     got = {r.url_id: (r.page_id, r.payload) for r in store_extractions(old, new).collect()}
     assert got == {1: (11, "new"), 2: (20, "kept")}
+
+
+def test_log_paths_find_saved_pages(spark, tmp_path):
+    """A log has plain or relative paths, the reader gives URIs."""
+    (tmp_path / "html").mkdir()
+    for k in (1, 2):
+        (tmp_path / "html" / f"{k}.html").write_text(f"page {k}")
+    log = spark.createDataFrame(
+        [(1, f" {tmp_path}/html/1.html "), (2, "html/2.html"), (3, " "), (4, "html/none.html")],
+        "id long, html_path string",
+    )
+    got = SF.attach_html(log, SF.saved_html(spark, str(tmp_path / "html")), str(tmp_path)).collect()
+    assert sorted((r.id, r.html) for r in got) == [(1, "page 1"), (2, "page 2")]

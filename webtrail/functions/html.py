@@ -24,17 +24,30 @@ TRUNCATION_MARK = "\n... [truncated]"
 HREF_CHARS, ANCHOR_CHARS, FIELD_CHARS, ATTRIBUTE_CHARS = 2048, 220, 500, 80
 RAW_LINK_LIMIT = 50
 
-# Boilerplate blocks left out of the main text.
-BOILERPLATE = (
-    r"(?is)<nav(?:\s[^>]*)?>.*?</nav\s*>|<header(?:\s[^>]*)?>.*?</header\s*>"
-    r"|<footer(?:\s[^>]*)?>.*?</footer\s*>|<aside(?:\s[^>]*)?>.*?</aside\s*>"
-)
+# Boilerplate blocks left out of the main text, one kind after the other.
+BOILERPLATE = ("nav", "header", "footer", "aside")
 COMMENT = r"(?s)<!--.*?-->"
 
+# A pattern that looks for the end of a block from every beginning takes quadratic time on a
+# page of unclosed ones. If one beginning finds no end, no later one does: the rest of the page
+# is then taken as a whole and put back.
+LINK_END = "(?isu)^.*</a>"
+
+
+def _replace_blocks(html: Column, pattern: str, begin: str, filler: str) -> Column:
+    """All blocks replaced. Before an unclosed one ``filler`` is added: nothing, or a blank
+    that goes with the blanks its tag leaves."""
+    return F.regexp_replace(html, rf"{pattern}|({begin}[\s\S]*\z)", filler + "$1")
+
+
+def boilerplate_block(name: str) -> str:
+    return rf"(?is)<{name}(?:\s[^>]*)?>.*?</{name}\s*>"
+
 
 def without_code(html: Column, filler: str) -> Column:
     """HTML with script and style blocks replaced by ``filler``."""
-    return F.regexp_replace(F.regexp_replace(html, SCRIPT, filler), STYLE, filler)
+    bare = _replace_blocks(html, SCRIPT, "<script[^>]*>", filler)
+    return _replace_blocks(bare, STYLE, "<style[^>]*>", filler)
 
 
 def page_text(html: Column) -> Column:
@@ -44,8 +57,11 @@ def page_text(html: Column) -> Column:
 
 def main_text(html: Column) -> Column:
     """Visible text without navigation, header, footer, aside and comment blocks."""
-    body = F.regexp_replace(without_code(html, " "), COMMENT, " ")
-    return squeeze(F.regexp_replace(F.regexp_replace(body, BOILERPLATE, " "), TAG, " "))
+    body = _replace_blocks(without_code(html, " "), COMMENT, "<!--", " ")
+    for name in BOILERPLATE:
+        begin = rf"<{name}(?:\s[^>]*)?>"
+        body = _replace_blocks(body, boilerplate_block(name), begin, " ")
+    return squeeze(F.regexp_replace(body, TAG, " "))
 
 
 def title(html: Column) -> Column:
@@ -61,11 +77,11 @@ def description(html: Column) -> Column:
 def anchors(html: Column) -> Column:
     """Every link of the page in order: ``array<struct<href, text>>``.
 
-    The page is scanned once for whole elements; address and text are then read
-    from the short matches.
+    The page is scanned once for whole elements, up to the last end of one; address and
+    text are then read from the short matches.
     """
     return F.transform(
-        F.regexp_extract_all(html, F.lit(LINK), F.lit(0)),
+        F.regexp_extract_all(F.regexp_extract(html, LINK_END, 0), F.lit(LINK), F.lit(0)),
         lambda a: F.struct(
             strip(F.regexp_extract(a, LINK, 1)).alias("href"),
             head(

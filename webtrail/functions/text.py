@@ -25,10 +25,11 @@ WORD = r"[\p{L}\p{N}_]"
 # The look back comes after the first literal, so it runs only where a year may start.
 RECENT_YEAR = rf"20(?<!{WORD}20)(?:2[4-9]|3\p{{Nd}})(?!{WORD})"
 
-# Fixed value: what a float literal may look like as text.
-_DIGITS = r"[0-9](?:_?[0-9])*"
+# Fixed value: what a float literal may look like as text, once the underscores between its
+# digits are gone. Possessive classes only: a repeated group would recurse once per digit.
+_BETWEEN_DIGITS = r"(?<=[0-9])_(?=[0-9])"
 _FLOAT = (
-    rf"(?i)^[+-]?(?:(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:e[+-]?{_DIGITS})?"
+    r"(?i)^[+-]?(?:(?:[0-9]++(?:\.[0-9]*+)?|\.[0-9]++)(?:e[+-]?[0-9]++)?"
     r"|inf(?:inity)?|nan)\z"
 )
 
@@ -86,11 +87,8 @@ def clamp(value: Column, low: float = 0.0, high: float = 1.0) -> Column:
 
 def unit_float(text: Column, default: float = 0.0) -> Column:
     """Parse text as a float and clamp it to [0, 1]; anything else is ``default``."""
-    trimmed = strip(text)
-    parsed = F.when(
-        trimmed.rlike(_FLOAT),
-        F.regexp_replace(trimmed, "_", "").try_cast("double"),
-    )
+    digits = F.regexp_replace(strip(text), _BETWEEN_DIGITS, "")
+    parsed = F.when(digits.rlike(_FLOAT), digits.try_cast("double"))
     return F.when(parsed.isNull(), F.lit(default)).otherwise(clamp(parsed))
 
 

@@ -31,14 +31,23 @@ _CONFUSABLE = (
 _HEX = "[0-9A-Fa-f]{1,4}"
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _IP6_FULL = rf"^{_HEX}(?::{_HEX}){{7}}\z"
-_IP6_SHORT = rf"^(?:{_HEX}(?::{_HEX})*)?::(?:{_HEX}(?::{_HEX})*)?\z"
 
 
 def _ip6_ok(host: Column) -> Column:
     """Bracketed host is an IPv6 address (or a ``v...`` future form)."""
     bare = F.regexp_replace(host, r"%[^%]+\z", "")
     flat = F.regexp_replace(bare, rf"(?<=:){_OCTET}(?:\.{_OCTET}){{3}}\z", "0:0")
-    short = flat.rlike(_IP6_SHORT) & (F.regexp_count(flat, F.lit("[0-9A-Fa-f]+")) <= 7)
+    # One gap of two colons among at most seven groups; counted, as a pattern would recurse.
+    groups = F.filter(F.split(flat, ":"), lambda g: g != "")
+    gaps = F.length(flat) - F.length(F.replace(flat, F.lit("::"), F.lit(":")))
+    short = (
+        F.contains(flat, F.lit("::"))
+        & ~F.contains(flat, F.lit(":::"))
+        & (gaps == 1)
+        & ~flat.rlike(r"^:[^:]|[^:]:\z")
+        & (F.size(groups) <= 7)
+        & F.forall(groups, lambda g: g.rlike(rf"^{_HEX}\z"))
+    )
     return F.when(
         F.startswith(host, F.lit("v")), host.rlike(r"^v[a-fA-F0-9]+\..+\z")
     ).otherwise(flat.rlike(_IP6_FULL) | short)

@@ -343,13 +343,15 @@ def arrival_report(queue: DataFrame, found: DataFrame) -> DataFrame:
 
 def delete_urls(queue: DataFrame, doomed: DataFrame) -> DataFrame:
     """Queue without the ids in ``doomed``; children lose that parent."""
-    gone = doomed.select("id")
+    gone = doomed.select("id").distinct()
     parents = gone.select(F.col("id").alias("parent_url_id"), F.lit(True).alias("gone_"))
-    return (
-        queue.join(gone, "id", "left_anti")
-        .join(parents, "parent_url_id", "left")
-        .select(*_updated({"parent_url_id": F.when(F.col("gone_").isNull(), F.col("parent_url_id"))}))
+    kept = queue.join(gone, "id", "left_anti")
+    # Rows without a parent stay out of the join, where they would meet in one task.
+    joined = kept.filter("parent_url_id IS NOT NULL").join(parents, "parent_url_id", "left")
+    settled = joined.select(
+        *_updated({"parent_url_id": F.when(F.col("gone_").isNull(), F.col("parent_url_id"))})
     )
+    return settled.unionByName(kept.filter("parent_url_id IS NULL").select(*settled.columns))
 
 
 def delete_children(rows: DataFrame, doomed: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PAGE_SCHEMA = (
@@ -14,20 +14,46 @@ PAGE_SCHEMA = (
 
 
 def latest_by(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """The newest row of every key; ``order`` must be unique within a key.
+    """The newest row of every key, a null key being one of them.
 
-    Only key and order columns are aggregated (combined before the shuffle); the
-    wide rows are then picked by joining on all of them, so neither a key with
-    very many versions nor the page text piles up in one task.
+    Nulls in ``order`` come first. Rows that are equal in it are told apart by a hash
+    of all their columns, and of repeated rows one stays. Only key, order and hash are
+    aggregated (combined before the shuffle); the wide rows are then picked by joining on
+    all of them, so neither a key with very many versions nor the page text piles up in
+    one task.
     """
-    newest = df.groupBy(key).agg(F.max(F.struct(*order)).alias("n_"))
-    picked = newest.select(key, *[F.col(f"n_.{c}").alias(c) for c in order])
-    return df.join(picked, [key, *order], "left_semi")
+    marked = df.withColumn("o_", F.struct(*order, F.xxhash64(*df.columns).alias("hash_")))
+    newest = marked.groupBy(F.col(key).alias("k_")).agg(F.max("o_").alias("n_"))
+    same = F.col(key).eqNullSafe(F.col("k_")) & F.col("o_").eqNullSafe(F.col("n_"))
+    picked = marked.join(newest, same, "left_semi").drop("o_")
+    return picked.dropDuplicates([key])
 
 
 def store_latest(stored: DataFrame, incoming: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """Stored rows after writing the incoming ones: the latest per key wins."""
-    return latest_by(stored.unionByName(incoming, allowMissingColumns=True), key, order)
+    """Stored rows after writing the incoming ones: the latest per key wins, and of equally
+    late ones the incoming.
+
+    ``stored`` has one row per key, as this leaves it. It is only probed with the narrow keys
+    of the incoming rows: what is stored is not aggregated anew for each batch.
+    """
+    def keys(df: DataFrame) -> DataFrame:
+        return df.select(F.col(key).alias("k_"), F.struct(*order).alias("n_"))
+
+    same, own = F.col(key).eqNullSafe(F.col("k_")), F.struct(*order)
+    newest = latest_by(incoming, key, order)
+    stays = stored.join(keys(newest), same & ~_later(own, F.col("n_"), order), "left_anti")
+    comes = newest.join(keys(stored), same & _later(F.col("n_"), own, order), "left_anti")
+    return stays.unionByName(comes, allowMissingColumns=True)
+
+
+def _later(a: Column, b: Column, order: Sequence[str]) -> Column:
+    """Is ``a`` after ``b`` in the columns of ``order``? Nulls come first."""
+    made = F.lit(False)
+    for c in reversed(order):
+        x, y = a.getField(c), b.getField(c)
+        after = F.coalesce(x > y, x.isNotNull() & y.isNull())
+        made = after | (x.eqNullSafe(y) & made)
+    return made
 
 
 def corpus_view(queue: DataFrame, pages: DataFrame, extractions: DataFrame) -> DataFrame:
@@ -46,6 +72,10 @@ def lineage(queue: DataFrame) -> DataFrame:
         F.col("url").alias("parent_url"),
         F.col("status").alias("parent_status"),
     )
-    return queue.select("id", "url", "depth", "source", "parent_url_id").join(
-        parents, "parent_url_id", "left"
+    rows = queue.select("id", "url", "depth", "source", "parent_url_id")
+    # Seeds have no parent. They stay out of the join, where they would meet in one task.
+    return (
+        rows.filter("parent_url_id IS NOT NULL")
+        .join(parents, "parent_url_id", "left")
+        .unionByName(rows.filter("parent_url_id IS NULL"), allowMissingColumns=True)
     )

@@ -44,7 +44,7 @@ def at() -> Column:
 
 QUERIES: dict[str, Query] = {}
 CLAIM_BATCH, WORKERS = DEFAULTS.claim_batch, 4
-REPLAY_ROUNDS = 3
+REPLAY_ROUNDS, REPLAY_BATCH = 3, 600
 
 
 def query(fn: Query) -> Query:
@@ -495,10 +495,9 @@ def process_discoveries(spark, sf):
 
 @query
 def replay_rounds(spark, sf):
-    """Three rounds over the stored corpus, each claiming a quarter of the queue."""
+    """Three rounds over the stored corpus."""
     start = queue_of(spark, sf)
-    batch = max(CLAIM_BATCH, start.count() // 4)
-    end = T.replay(start, linked_of(spark, sf), at(), REPLAY_ROUNDS, batch, first_id=1 << 40)
+    end = T.replay(start, linked_of(spark, sf), at(), REPLAY_ROUNDS, REPLAY_BATCH, first_id=1 << 40)
     return end.select(
         "url", "status", big("priority"), r6d("geo_score"), "source", big("depth"), big("retries")
     )
@@ -727,7 +726,8 @@ def lift(spark, sf):
 def stream_pages(spark, sf):
     """Pages analysed by a stream that stops after the files at hand."""
     out = fresh_folder(spark, "stream-pages")
-    pages = SI.page_stream(spark, sf, files="pages.parquet")
+    # a pattern, since a stream takes the path of one file only as such
+    pages = SI.page_stream(spark, f"{sf}/pages.parque[t]")
     SI.ingest(pages, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
     return _signal_row(spark.read.parquet(f"{out}/rows"))
 
@@ -752,14 +752,19 @@ def stream_queue(spark, sf):
 
 @query
 def stream_metrics(spark, sf):
-    """Hourly worker metrics by a stream; windows still open at the end are not in it."""
+    """Hourly worker metrics by a stream, with a last flush of the windows open at its end."""
     out = fresh_folder(spark, "stream-metrics")
     worker_log(spark, sf).write.parquet(f"{out}/outcomes")
     schema = spark.read.parquet(f"{out}/outcomes").schema
     rows = spark.readStream.schema(schema).parquet(f"{out}/outcomes")
     SM.run_metrics(rows, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
-    made = spark.read.parquet(f"{out}/rows")
+    # a stream's own folder lists its files in a log, so the flush has one of its own
+    streamed = spark.read.parquet(f"{out}/rows")
+    streamed.write.parquet(f"{out}/all")
+    SM.final_flush(spark.read.parquet(f"{out}/outcomes"), f"{out}/all")
+    made = spark.read.parquet(f"{out}/all")
     return made.select(
         F.col("window_start").cast("string").alias("window_start"),
         "worker", "processed_count", "failed_count", "frontier_enqueued", r6("avg_latency_ms"),
+        r6("p95_approx_ms"),
     )

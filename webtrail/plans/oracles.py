@@ -189,7 +189,9 @@ ORACLES["document_words"] = (
     f"SELECT doc_id, length(text) AS chars, {words('text')} AS words FROM documents"
 )
 _BLOCKS = f"regexp_replace({no_code('html')}, '(?s)<!--.*?-->', ' ', 'g')"
-_BODY = f"regexp_replace({_BLOCKS}, '{H.BOILERPLATE}', ' ', 'g')"
+_BODY = _BLOCKS
+for _name in ("nav", "header", "footer", "aside"):
+    _BODY = f"regexp_replace({_BODY}, '(?is)<{_name}(?:\\s[^>]*)?>.*?</{_name}\\s*>', ' ', 'g')"
 ORACLES["main_text"] = f"""
 SELECT page_id, length(text) AS chars, {words('text')} AS words, md5(text) AS text_md5
 FROM (SELECT page_id, {squeeze(f"regexp_replace({_BODY}, '<[^>]+>', ' ', 'g')")} AS text FROM pages)
@@ -280,8 +282,8 @@ ORACLES["dom_summary"] = with_(("made", _SUMMARY)) + (
 )
 ORACLES["model_request_table"] = with_(("made", _SUMMARY)) + """
 SELECT page_id, length(r) AS chars, md5(r) AS md5
-FROM (SELECT page_id, concat('Analyze and extract structured content from this page.', chr(10), chr(10),
-             'URL: ', url, chr(10), 'DOM summary:', chr(10), s, chr(10)) AS r FROM made)"""
+FROM (SELECT page_id, concat('Address: ', url, chr(10), 'Simplified page, between the two lines:', chr(10),
+             '-----', chr(10), s, chr(10), '-----', chr(10)) AS r FROM made)"""
 
 
 def raw(source: str) -> str:
@@ -753,8 +755,7 @@ ORACLES["stream_metrics"] = with_(("outcomes", OUT)) + """
 SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, worker,
   count(*) FILTER (NOT failed) AS processed_count, count(*) FILTER (failed) AS failed_count,
   coalesce(sum(frontier) FILTER (NOT failed), 0)::BIGINT AS frontier_enqueued,
-  round(avg(latency_ms) FILTER (NOT failed), 6) AS avg_latency_ms
+  round(avg(latency_ms) FILTER (NOT failed), 6) AS avg_latency_ms,
+  round(quantile_disc(latency_ms, 0.95) FILTER (NOT failed), 6) AS p95_approx_ms
 FROM outcomes
-GROUP BY date_trunc('hour', ts), worker
-HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR
-       <= (SELECT max(ts) FROM outcomes) - INTERVAL 10 MINUTE"""
+GROUP BY date_trunc('hour', ts), worker"""

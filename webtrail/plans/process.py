@@ -29,16 +29,20 @@ def stride(params: Params) -> int:
 def page_by_url(pages: DataFrame, key: str = "page_id", url: str = "url") -> DataFrame:
     """``url, page_id``: one page per canonical URL, the lowest key of all copies.
 
-    Only keys are aggregated, so a page with very many copies costs one counter.
+    Only keys are aggregated, so a page with very many copies costs one counter. Pages whose
+    URL is unusable have no canonical one and are not found by it.
     """
-    return pages.groupBy(canonicalize_url(F.col(url)).alias("url")).agg(F.min(key).alias(key))
+    named = pages.select(canonicalize_url(F.col(url)).alias("url"), key).filter("url <> ''")
+    return named.groupBy("url").agg(F.min(key).alias(key))
 
 
 def fetch_lookup(claims: DataFrame, pages: DataFrame, key: str = "page_id") -> DataFrame:
     """Claimed rows with the stored page for their URL, NULL when there is none."""
     lookup = page_by_url(pages, key).withColumnRenamed("url", "canonical_url")
     wanted = claims.withColumn("canonical_url", canonicalize_url(F.col("url")))
-    return wanted.join(lookup, "canonical_url", "left").drop("canonical_url")
+    usable = F.coalesce(F.col("canonical_url") != "", F.lit(False))
+    found = wanted.filter(usable).join(lookup, "canonical_url", "left")
+    return found.unionByName(wanted.filter(~usable), allowMissingColumns=True).drop("canonical_url")
 
 
 @dataclass(frozen=True)
@@ -125,8 +129,13 @@ def replay_round(
     due = cut_lineage(
         queue.select("id", "url", "depth").join(Q.bounded(Q.claim_set(queue, batch), batch), "id")
     )
-    found_pages = lookup.join(Q.bounded(due.select("url"), batch), "url")
-    claims = cut_lineage(due.join(Q.bounded(found_pages, batch), "url", "left"))
+    # Seeds are queued as they were given and looked up in canonical form.
+    due = due.withColumn("canonical_", canonicalize_url(F.col("url")))
+    wanted = Q.bounded(due.select(F.col("canonical_").alias("url")).distinct(), batch)
+    found_pages = lookup.join(wanted, "url").withColumnRenamed("url", "canonical_")
+    claims = cut_lineage(
+        due.join(Q.bounded(found_pages, batch), "canonical_", "left").drop("canonical_")
+    )
     claimed = Q.apply_claims(queue, claims.select("id", "claim_rank", "worker"), at, batch)
     outcomes = claims.select(
         "id",
@@ -162,7 +171,7 @@ def replay(
     ``max_rounds`` always bounds the loop. The driver keeps only the loop: each
     round's queue is written to the shared folder and read on from there.
     """
-    lookup = cut_lineage(page_by_url(pages, key))
+    lookup = cut_lineage(page_by_url(pages.filter("html IS NOT NULL"), key))
     edges = cut_lineage(corpus_edges(pages, key, params))
     for number in range(max_rounds):
         queue = cut_lineage(

@@ -26,21 +26,19 @@ def local_session(cores: int | str = "*", app: str = "webtrail", **conf: str) ->
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``.
+    """The folder named in ``spark.checkpoint.dir``, or given to ``setCheckpointDir``.
 
-    Only a local session may fall back to a temporary folder; on a cluster such
-    a folder would vanish with its machine, so a missing setting is an error.
+    A session in one process without either makes a temporary folder its setting; on a
+    cluster such a folder would vanish with its machine, so there it is an error.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    made = spark.sparkContext.getCheckpointDir()
-    if not made:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="webtrail-"))
-        made = spark.sparkContext.getCheckpointDir()
-    return made.rstrip("/")
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named:
+        if context.master != "local" and not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="webtrail-"))
+        named = context.getCheckpointDir()
+    return named.rstrip("/")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

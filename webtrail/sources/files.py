@@ -149,9 +149,23 @@ def saved_html(spark: SparkSession, folder: str) -> DataFrame:
     return raw.select(F.col("path").alias("html_path"), text.alias("html"))
 
 
-def attach_html(log: DataFrame, pages: DataFrame) -> DataFrame:
-    """Log rows that saved a page, with its text; rows with a blank path drop out."""
-    return log.filter(F.trim("html_path") != "").join(pages, "html_path")
+def plain_path(path: Column, base: str = "") -> Column:
+    """A path without scheme, host and blank ends; a relative one is below ``base``."""
+    bare = F.regexp_replace(F.trim(path), r"^[A-Za-z][A-Za-z0-9+.-]+:(?://[^/]*)?", "")
+    return F.when(F.startswith(bare, F.lit("/")), bare).otherwise(
+        F.concat(F.lit(base.rstrip("/") + "/" if base else ""), bare)
+    )
+
+
+def attach_html(log: DataFrame, pages: DataFrame, base: str = "") -> DataFrame:
+    """Log rows that saved a page, with its text; rows with a blank path drop out.
+
+    The log has plain paths (relative ones below ``base``) and the reader of the pages
+    gives URIs, so both are compared without their scheme.
+    """
+    saved = pages.withColumn("path_", plain_path(F.col("html_path"), base)).drop("html_path")
+    named = log.filter(F.trim("html_path") != "").withColumn("path_", plain_path(F.col("html_path"), base))
+    return named.join(saved, "path_").drop("path_")
 
 
 def extract_documents(pages: DataFrame, html: str = "html") -> DataFrame:
