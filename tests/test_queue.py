@@ -1,5 +1,6 @@
 import random
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -102,13 +103,33 @@ def test_claims_are_ordered_bounded_and_disjoint(spark):
     assert (one.claimed_by, one.claimed_at, one.updated_at) == (f"worker-{claims[0].worker}", AT, AT)
 
 
-def test_large_claims_rank_like_small_ones(spark, monkeypatch):
-    rows = [dict(id=i * 700_001, url=f"u{i}", priority=i % 3, geo_score=0.5, retries=i % 2) for i in range(300)]
-    queue = make_queue(spark, rows)
-    small = sorted(map(tuple, Q.claim_set(queue, 50, 3).collect()))
-    monkeypatch.setattr(Q, "BROADCAST_ROWS", 10)
-    assert sorted(map(tuple, Q.claim_set(queue, 50, 3).collect())) == small
-    assert Q.claim(queue, 50, at()).filter("status = 'in_progress'").count() == 50
+def test_claims_of_hashed_ids(spark):
+    """Ids all over the range, few classes, and a claim of most of the queue."""
+    rows = spark.range(9000).select(
+        F.xxhash64("id").alias("id"), F.concat(F.lit("u"), "id").alias("url"), F.lit("pending").alias("status"),
+        (F.col("id") % 3).cast("int").alias("priority"), F.lit(0.0).cast("float").alias("geo_score"),
+        (F.col("id") % 2).cast("int").alias("retries"), F.lit(3).alias("max_retries"),
+    )
+    plain = sorted(rows.collect(), key=lambda r: (-r.priority, r.retries, r.id))
+    for batch, workers in ((10, 1), (700, 11), (20_000, 1)):
+        got = sorted((r.claim_rank, r.id, r.worker) for r in Q.claim_set(rows, batch, workers).collect())
+        want = [(k + 1, r.id, k // batch) for k, r in enumerate(plain[: batch * workers])]
+        assert got == want
+
+
+def test_claim_windows_are_partitioned(spark, sf_dir):
+    from webtrail.plans.catalog import queue_of
+
+    plan = Q.claim_set(queue_of(spark, sf_dir), 5)._jdf.queryExecution().optimizedPlan().toString()
+    windows = re.findall(r"windowspecdefinition\(([^,]*)", plan)
+    assert windows and not any(w.endswith(("FIRST", "LAST")) for w in windows)
+
+
+def test_claims_of_a_named_worker(spark, sf_dir):
+    from webtrail.plans.catalog import at, queue_of
+
+    made = Q.claim(queue_of(spark, sf_dir), 10, at(), worker_id="w-7")
+    assert made.filter("claimed_by = 'w-7' and status = 'in_progress'").count() == 10
 
 
 def test_outcomes(spark):

@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from ..functions.scoring import queue_rank
 from ..functions.text import clamp, head, strip
+from ..session import cut_lineage
 
+# Fixed value: the columns of the queue.
 QUEUE_SCHEMA = (
     "id BIGINT, url STRING, status STRING, priority INT, geo_score FLOAT, source STRING, "
     "depth INT, parent_url_id BIGINT, retries INT, max_retries INT, claimed_at TIMESTAMP, "
@@ -26,6 +28,9 @@ QUEUE_COLUMNS = [part.split()[0] for part in QUEUE_SCHEMA.split(", ")]
 ERROR_CHARS = 4096
 # A table known to hold at most this many narrow rows (a few MB) is broadcast.
 BROADCAST_ROWS = 50_000
+# A class of equal rank is numbered in this many pieces.
+PIECES = 64
+
 
 def bounded(rows: DataFrame, bound: int | None) -> DataFrame:
     """Broadcast rows whose number has a proven small bound; others join as Spark
@@ -127,75 +132,80 @@ def _fresh_columns(at: Column) -> list[Column]:
 def claim_set(queue: DataFrame, batch: int, workers: int = 1) -> DataFrame:
     """``id, claim_rank, worker``: the next ``batch`` URLs for each of the workers.
 
-    A small claim is one bounded top-k, and the ranking window sees only its rows.
-    A large one is ranked in pieces (:func:`_rank_in_pieces`). Workers get disjoint
-    runs of ranks.
+    The order is by rank score, retries and id. A histogram over (rank score, retries) tells
+    which of these classes are due at all, and holds ``PIECES`` cut points of the ids of each.
+    Between them a class falls into pieces of about equal size whatever its ids are like; only
+    the sizes of pieces are added up, and rows are numbered inside pieces that begin before
+    the last wanted rank. So no task sees a whole class. Workers get disjoint runs of ranks.
     """
-    order = [F.col("rank_score").desc(), F.col("retries"), F.col("id")]
     wanted = batch * workers
-    open_ = with_rank(claimable(queue)).select("id", "rank_score", "retries")
-    if wanted <= BROADCAST_ROWS:
-        ranked = open_.orderBy(*order).limit(wanted).withColumn(
-            "claim_rank", F.row_number().over(Window.orderBy(*order))
-        )
-    else:
-        ranked = _rank_in_pieces(open_, wanted)
-    return ranked.select(
-        "id",
-        F.col("claim_rank").cast("bigint").alias("claim_rank"),
-        F.floor((F.col("claim_rank") - 1) / batch).cast("bigint").alias("worker"),
+    of_class = ["rank_score", "retries"]
+    open_ = with_rank(claimable(queue)).select("id", *of_class)
+    cuts = [k / PIECES for k in range(1, PIECES)]
+    # one row for each class: few, as both columns are small numbers
+    ahead = Window.orderBy(F.col("rank_score").desc(), "retries").rowsBetween(
+        Window.unboundedPreceding, -1
     )
-
-
-def _rank_in_pieces(open_: DataFrame, wanted: int) -> DataFrame:
-    """The first ``wanted`` rows in claim order with their rank, without one task
-    seeing them all.
-
-    Rows of equal rank score and retries are cut into runs of a million ids. Only
-    the sizes of these pieces are added up in order; rows are numbered within their
-    piece, and pieces that start beyond the last wanted rank are never touched.
-    """
-    piece = F.struct(
-        (-F.col("rank_score")).alias("worst"),
-        "retries",
-        F.shiftright("id", 20).alias("run"),
+    # written, since approximate cut points must be the same wherever they are used
+    due = cut_lineage(
+        open_.groupBy(*of_class)
+        .agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("id", cuts).alias("cuts"))
+        .withColumn("start", F.coalesce(F.sum("n").over(ahead), F.lit(0)))
+        .filter(F.col("start") < wanted)
+        .drop("n")
+    )
+    pieces = open_.join(due, of_class).select(
+        "id", *of_class, "start",
+        F.size(F.filter("cuts", lambda c: c < F.col("id"))).alias("piece"),
+    )
+    before = Window.partitionBy(*of_class).orderBy("piece").rowsBetween(
+        Window.unboundedPreceding, -1
     )
-    cut = open_.withColumn("piece", piece)
-    ahead = Window.orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        cut.groupBy("piece")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select("piece", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("start"))
-        .filter(F.col("start") < wanted)
+        pieces.groupBy(*of_class, "piece")
+        .agg(F.count(F.lit(1)).alias("n"), F.first("start").alias("start"))
+        .withColumn("first", F.col("start") + F.coalesce(F.sum("n").over(before), F.lit(0)))
+        .filter(F.col("first") < wanted)
+        .select(*of_class, "piece", "first")
     )
-    within = Window.partitionBy("piece").orderBy("id")
-    return (
-        cut.join(starts, "piece")
-        .withColumn("claim_rank", F.row_number().over(within) + F.col("start"))
+    within = Window.partitionBy(*of_class, "piece").orderBy("id")
+    ranked = (
+        pieces.join(starts, [*of_class, "piece"])
+        .withColumn("claim_rank", (F.row_number().over(within) + F.col("first")).cast("bigint"))
         .filter(F.col("claim_rank") <= wanted)
     )
+    return ranked.select(
+        "id", "claim_rank", F.floor((F.col("claim_rank") - 1) / batch).cast("bigint").alias("worker")
+    )
 
 
-def apply_claims(queue: DataFrame, claims: DataFrame, at: Column, bound: int) -> DataFrame:
-    """Mark the claimed rows in progress. ``bound`` is the size limit of ``claims``."""
+def apply_claims(
+    queue: DataFrame, claims: DataFrame, at: Column, bound: int, worker_id: str | None = None
+) -> DataFrame:
+    """Mark the claimed rows in progress. ``bound`` is the size limit of ``claims``.
+
+    They carry ``worker_id``, or else the number of their worker as ``worker-N``.
+    """
     hit = F.col("claim_rank").isNotNull()
+    numbered = F.concat(F.lit("worker-"), F.col("worker").cast("string"))
+    by = numbered if worker_id is None else F.lit(worker_id)
     joined = queue.join(bounded(claims, bound), "id", "left")
     return joined.select(
         *_updated(
             {
                 "status": F.when(hit, F.lit("in_progress")).otherwise(F.col("status")),
                 "claimed_at": F.when(hit, at).otherwise(F.col("claimed_at")),
-                "claimed_by": F.when(
-                    hit, F.concat(F.lit("worker-"), F.col("worker").cast("string"))
-                ).otherwise(F.col("claimed_by")),
+                "claimed_by": F.when(hit, by).otherwise(F.col("claimed_by")),
                 "updated_at": F.when(hit, at).otherwise(F.col("updated_at")),
             }
         )
     )
 
 
-def claim(queue: DataFrame, batch: int, at: Column, workers: int = 1) -> DataFrame:
-    return apply_claims(queue, claim_set(queue, batch, workers), at, batch * workers)
+def claim(
+    queue: DataFrame, batch: int, at: Column, workers: int = 1, worker_id: str | None = None
+) -> DataFrame:
+    return apply_claims(queue, claim_set(queue, batch, workers), at, batch * workers, worker_id)
 
 
 def _updated(changes: dict[str, Column], extra: Iterable[str] = ()) -> list[Column]:

@@ -414,6 +414,20 @@ def lineage(spark, sf):
     )
 
 
+@query
+def store_extractions(spark, sf):
+    """Extractions of all pages, then twice a later batch for every third one."""
+    pages = X.table(spark, sf, "pages")
+    version = lambda day, rows: rows.select(
+        F.col("page_id").alias("url_id"), "page_id", F.lit(f"v{day}").alias("schema_name"),
+        F.lit(f"2024-02-0{day} 00:00:00").cast("timestamp").alias("extracted_at"),
+    )
+    fresh = version(2, pages.filter("page_id % 3 = 0"))
+    made = T.store_extractions(version(1, pages), fresh)
+    made = T.store_extractions(made, fresh.unionByName(fresh))
+    return made.select("url_id", "page_id", "schema_name", F.col("extracted_at").cast("string").alias("extracted_at"))
+
+
 @query
 def store_latest(spark, sf):
     """Two versions of every page; the later one stays."""
@@ -602,6 +616,27 @@ def fetch_log_roundtrip(spark, sf):
     )
 
 
+@query
+def url_table(spark, sf):
+    """A list of all page URLs in files with blank lines between, numbered as it is read."""
+    folder = fresh_folder(spark, "urls")
+    pages = X.table(spark, sf, "pages").repartitionByRange(4, "page_id").sortWithinPartitions("page_id")
+    blank = F.when(F.col("page_id") % 3 == 0, F.array(F.lit(""), F.lit(" \t"))).otherwise(F.array())
+    lines = F.concat(blank.cast("array<string>"), F.array("url"))
+    pages.select(F.explode(lines).alias("value")).write.text(folder)
+    return SF.url_table(spark, folder)
+
+
+@query
+def extracted_table(spark, sf):
+    """Main texts written as a table and read back."""
+    folder = fresh_folder(spark, "extracted")
+    pages = X.table(spark, sf, "pages").select(F.col("page_id").alias("id"), "url", "html")
+    SF.write_extracted(SF.extract_documents(pages), folder)
+    back = spark.read.schema(SF.EXTRACTED_SCHEMA).parquet(folder)
+    return back.select("id", "url", "chars", "words", F.md5("text").alias("text_md5"))
+
+
 @query
 def summary_table(spark, sf):
     """Twelve-column run summary, written as TSV and read back."""

@@ -561,6 +561,14 @@ UNION ALL SELECT 'page_url', (page_id + 5)::VARCHAR, 1 FROM pages WHERE page_id
 ORACLES["lineage"] = on_queue("""
 SELECT c.id, c.url, c.parent_url_id, p.url AS parent_url, p.status AS parent_status
 FROM queue c LEFT JOIN queue p ON p.id = c.parent_url_id""")
+ORACLES["store_extractions"] = """
+SELECT page_id AS url_id, page_id, CASE WHEN page_id % 3 = 0 THEN 'v2' ELSE 'v1' END AS schema_name,
+       CASE WHEN page_id % 3 = 0 THEN '2024-02-02 00:00:00' ELSE '2024-02-01 00:00:00' END AS extracted_at
+FROM pages"""
+ORACLES["url_table"] = "SELECT row_number() OVER (ORDER BY page_id) AS pos, url FROM pages"
+ORACLES["extracted_table"] = f"""
+SELECT p.page_id AS id, url, chars, words, text_md5
+FROM ({ORACLES['main_text']}) t JOIN pages p ON p.page_id = t.page_id"""
 ORACLES["store_latest"] = """
 SELECT page_id AS url_id, url, 2::BIGINT AS seq, 20 + page_id % 13 AS fetched, length(html) AS chars FROM pages"""
 ORACLES["corpus_view"] = with_(("queue", QUEUE), *PLAIN_SIGNALS) + """

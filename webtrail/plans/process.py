@@ -11,7 +11,7 @@ from ..functions.scoring import priority
 from ..functions.urls import canonicalize_url
 from ..operators import queue as Q
 from ..operators.links import expand, with_candidates, worth_queueing
-from ..operators.store import latest_by
+from ..operators.store import store_latest
 from ..params import DEFAULTS, SCHEMA_NAME, Params
 from ..session import cut_lineage
 from .pages import analyze_links, analyze_pages
@@ -186,5 +186,7 @@ def replay(
 
 
 def store_extractions(stored: DataFrame, fresh: DataFrame) -> DataFrame:
-    """Extractions after a batch: the newest per URL replaces all columns."""
-    return latest_by(stored.unionByName(fresh), "url_id", ["extracted_at", "page_id"])
+    """Extractions after a batch: the newest per URL replaces all columns.
+
+    A batch that is stored again leaves the same rows."""
+    return store_latest(stored, fresh, "url_id", ["extracted_at", "page_id"])

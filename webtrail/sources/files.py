@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -15,6 +15,7 @@ from ..functions import html as H
 from ..functions.text import WS, char_count, word_count
 from ..operators.runs import SUMMARY_COLUMNS
 
+# The columns of the three tables.
 FETCH_LOG_SCHEMA = (
     "id BIGINT, url STRING, final_url STRING, status STRING, code INT, ms DOUBLE, "
     "bytes BIGINT, html_path STRING, error STRING"
@@ -56,11 +57,26 @@ def url_list(spark: SparkSession, path: str, blank_lines: str = "empty") -> Data
 
 
 def url_table(spark: SparkSession, path: str) -> DataFrame:
-    """``pos, url`` from any number of list files. ``pos`` is unique and grows within each
-    split of the files, so no task has to number all lines."""
-    return spark.read.text(path).select(
-        F.monotonically_increasing_id().alias("pos"), F.col("value").alias("url")
+    """``pos, url`` from list files of any number and size, numbered from 1 in the order of
+    file names and lines; lines of whitespace are left out.
+
+    Lines are numbered within their split of a file, and the sizes of splits added up."""
+    split = ["file_", "block_"]
+    lines = spark.read.text(path).select(
+        F.col("value").alias("url"),
+        F.col("_metadata.file_path").alias("file_"),
+        F.col("_metadata.file_block_start").alias("block_"),
+        F.monotonically_increasing_id().alias("line_"),
     ).filter(F.col("url").rlike(f"{WS[:1]}^{WS[1:]}"))
+    # one row for each split of the files
+    ahead = Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
+    starts = lines.groupBy(*split).agg(F.count(F.lit(1)).alias("n_")).select(
+        *split, F.coalesce(F.sum("n_").over(ahead), F.lit(0)).alias("start_")
+    )
+    within = F.row_number().over(Window.partitionBy(*split).orderBy("line_"))
+    return lines.withColumn("n_", within).join(starts, split).select(
+        (F.col("start_") + F.col("n_")).cast("bigint").alias("pos"), "url"
+    )
 
 
 # ---------------------------------------------------------------------------
