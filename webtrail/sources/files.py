@@ -111,12 +111,12 @@ def fetch_log(spark: SparkSession, paths: str | Sequence[str], run: Column | Non
 
 
 def write_fetch_log(log: DataFrame, path: str) -> None:
-    """Fetch log as TSV: two decimals for ms, no tabs inside error texts."""
+    """Fetch log as TSV: two decimals for ms, no tabs or line breaks inside error texts."""
     log.select(
         "id", "url", "final_url", "status", "code",
         F.format_string("%.2f", F.col("ms")).alias("ms"),
         "bytes", "html_path",
-        F.translate("error", "\t", " ").alias("error"),
+        F.translate("error", "\t\r\n", "   ").alias("error"),
     ).write.option("sep", "\t").option("header", True).option("escape", '"').csv(
         path, mode="overwrite"
     )
