@@ -1,7 +1,5 @@
 """Every registered query against its SQL, on whole tables."""
 
-import os
-
 import duckdb
 import pytest
 
@@ -18,9 +16,7 @@ def con(sf_dir):
     return made
 
 
-# Minutes of iteration and streams that other tests also cover; FULL_CHECKS=1 runs them too.
-LONG = {"latest_metrics", "replay_rounds", "process_extractions", "process_outcomes", "stream_pages"}
-NAMES = [n for n in sorted(QUERIES) if os.environ.get("FULL_CHECKS") or n not in LONG]
+NAMES = sorted(QUERIES)
 
 
 @pytest.mark.parametrize("name", NAMES)
