@@ -79,3 +79,24 @@ def test_rates_and_lift(spark):
 def test_published_p95_index():
     """With ten values the index is 8, so the slowest is left out."""
     assert plain.floor_quantile(list(range(10))) == 8
+
+
+def test_quantile_of_values_close_together(spark):
+    """Time stamps, tiny values, signs, zeros, infinities: no bucket of many values is left."""
+    import math
+    import random
+
+    from webtrail.operators.quantiles import exact_quantile
+
+    r = random.Random(1)
+    groups = {
+        "stamps": [1.7e12 + k for k in range(3000)], "tiny": [1e-9 * r.random() for _ in range(3000)],
+        "signs": [r.uniform(-5, 5) for _ in range(999)], "zeros": [0.0, -0.0, 0.0, 1.0], "one": [2.5],
+        "powers": [2.0**k for k in range(-1074, 1024)] + [-(2.0**k) for k in range(-1074, 1024)],
+        "ends": [math.inf, -math.inf, 1e308, -1e308, 5e-324], "near": [math.nextafter(8.0, x) for x in (0, 9)] + [8.0] * 3,
+    }
+    rows = [(g, v) for g, values in groups.items() for v in values] + [("stamps", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    for q in (0.0, 0.5, 0.95, 1.0):
+        got = {x.g: (x.n, x.p95) for x in exact_quantile(df, ["g"], "v", q).collect()}
+        assert got == {g: (len(v), sorted(v)[int(q * (len(v) - 1))]) for g, v in groups.items()}

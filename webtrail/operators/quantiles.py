@@ -14,19 +14,32 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-# Buckets per unit of the logarithm: neighbouring buckets differ by 0.006 %.
-RESOLUTION = 1 << 14
-
+# Bits of the fraction that one refinement of a bucket tells apart.
+STEP_BITS = 20
 
 def floor_index(q: float, n: Column) -> Column:
     """Zero-based index ``int(q * (n - 1))``."""
     return F.floor(F.lit(q) * (n - 1)).cast("bigint")
 
 
-def _bucket(value: Column) -> Column:
-    """Order-preserving bucket number; equal buckets hold nearly equal values."""
-    size = F.floor(F.log1p(F.abs(value)) * RESOLUTION)
-    return F.when(F.isnan(value), F.lit((1 << 63) - 1)).when(value < 0, -size).otherwise(size)
+def _exponent(value: Column) -> Column:
+    """Sign and binary exponent as one number that grows with the value."""
+    size = F.floor(F.log2(F.abs(value))).cast("int") + 2000
+    infinite = F.abs(value) == float("inf")
+    return (
+        F.when(F.isnan(value), F.lit(9000))
+        .when(value == 0, F.lit(0))
+        .when(infinite, F.when(value > 0, F.lit(8000)).otherwise(F.lit(-8000)))
+        .when(value < 0, -size)
+        .otherwise(size)
+    )
+
+
+def _fraction(value: Column, exponent: Column, bits: int) -> Column:
+    """The value by the power of two of its exponent, to so many bits; grows with the value."""
+    plain = F.abs(exponent).between(1, 7999)
+    scale = F.pow(F.lit(2.0), (F.abs(exponent) - 2000).cast("double"))
+    return F.when(plain, F.floor(value / scale * float(1 << bits)).cast("bigint")).otherwise(F.lit(0))
 
 
 def match_on(
@@ -45,38 +58,53 @@ def exact_quantile(
 ) -> DataFrame:
     """``keys, n, <name>`` over the non-null values of each key.
 
-    1. Equal values are counted before the shuffle, which spreads on (key, value).
-    2. Counts per bucket are summed and accumulated, giving for each key the one
-       bucket that holds the wanted rank.
-    3. Only that bucket's values are ranked.
-
-    So no task ever sorts a whole key: a key costs at most its number of buckets,
-    plus the values of a single, very narrow bucket.
+    Equal values are counted before the shuffle, which spreads on (key, value). Then the
+    bucket that holds the wanted rank is narrowed down: by sign and exponent, and twice by
+    ``STEP_BITS`` of the fraction. Each time only bucket counts are added up in order, at most
+    two million of a key; the last bucket has a few thousand doubles at most, whatever the
+    values are like. So no task ever sorts a whole key.
     """
     keys = list(keys)
     counts = (
         df.filter(F.col(value).isNotNull())
         .groupBy(*keys, F.col(value).cast("double").alias("v_"))
         .agg(F.count(F.lit(1)).alias("c_"))
-        .withColumn("b_", _bucket(F.col("v_")))
+        .withColumn("e_", _exponent(F.col("v_")))
     )
+    levels = [F.col("e_"), *(_fraction(F.col("v_"), F.col("e_"), n * STEP_BITS) for n in (1, 2))]
+    left: DataFrame | None = None
+    for level in levels:
+        counts = counts.withColumn("b_", level)
+        wanted = _holding(counts, left, keys, q)
+        counts = match_on(counts, wanted.select(*keys, "b_"), [*keys, "b_"]).drop("b_")
+        left = wanted.drop("b_")
+    inside = Window.partitionBy(*keys).orderBy("v_").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = match_on(counts, left, keys).withColumn("rank_", F.sum("c_").over(inside))
+    return (
+        ranked.filter(F.col("rank_") > F.col("left_"))
+        .groupBy(*keys)
+        .agg(F.first("n").alias("n"), F.min("v_").alias(name))
+    )
+
+
+def _holding(counts: DataFrame, left: DataFrame | None, keys: list[str], q: float) -> DataFrame:
+    """``keys, b_, n, left_``: the bucket that holds the wanted rank of each key, and how many
+    values of the bucket come before it. ``left`` has the rank to look for, at first none."""
     per_key = Window.partitionBy(*keys)
     so_far = per_key.orderBy("b_").rowsBetween(Window.unboundedPreceding, 0)
     buckets = (
         counts.groupBy(*keys, "b_")
         .agg(F.sum("c_").alias("bc_"))
-        .withColumns({"upto_": F.sum("bc_").over(so_far), "n": F.sum("bc_").over(per_key)})
-        .withColumn("k_", floor_index(q, F.col("n")))
+        .withColumn("upto_", F.sum("bc_").over(so_far))
     )
-    wanted = buckets.filter(
-        (F.col("upto_") > F.col("k_")) & (F.col("upto_") - F.col("bc_") <= F.col("k_"))
-    ).select(*keys, "b_", "n", (F.col("k_") - F.col("upto_") + F.col("bc_")).alias("left_"))
-    inside = Window.partitionBy(*keys).orderBy("v_").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = match_on(counts, wanted, [*keys, "b_"]).withColumn("rank_", F.sum("c_").over(inside))
-    return (
-        ranked.filter(F.col("rank_") > F.col("left_"))
-        .groupBy(*keys)
-        .agg(F.first("n").alias("n"), F.min("v_").alias(name))
+    if left is None:
+        buckets = buckets.withColumn("n", F.sum("bc_").over(per_key))
+        buckets = buckets.withColumn("left_", floor_index(q, F.col("n")))
+    else:
+        buckets = match_on(buckets, left, keys)
+    before = F.col("upto_") - F.col("bc_")
+    return buckets.filter((F.col("upto_") > F.col("left_")) & (before <= F.col("left_"))).select(
+        *keys, "b_", "n", (F.col("left_") - before).alias("left_")
     )
 
 
