@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-# Bits of the fraction that one refinement of a bucket tells apart.
-STEP_BITS = 20
+# Bits of the fraction that buckets tell apart at first, and when the right one is refined.
+FIRST_BITS, NEXT_BITS = 10, 31
 
 def floor_index(q: float, n: Column) -> Column:
     """Zero-based index ``int(q * (n - 1))``."""
@@ -59,10 +59,10 @@ def exact_quantile(
     """``keys, n, <name>`` over the non-null values of each key.
 
     Equal values are counted before the shuffle, which spreads on (key, value). Then the
-    bucket that holds the wanted rank is narrowed down: by sign and exponent, and twice by
-    ``STEP_BITS`` of the fraction. Each time only bucket counts are added up in order, at most
-    two million of a key; the last bucket has a few thousand doubles at most, whatever the
-    values are like. So no task ever sorts a whole key.
+    bucket that holds the wanted rank is narrowed down: by sign, exponent and some bits of the
+    fraction, and by more bits. Each time only bucket counts are added up in order. Whatever the
+    values are like, these are at most a few million of a key, and so many different doubles
+    are in the last bucket at most. So no task ever sorts a whole key.
     """
     keys = list(keys)
     counts = (
@@ -71,7 +71,8 @@ def exact_quantile(
         .agg(F.count(F.lit(1)).alias("c_"))
         .withColumn("e_", _exponent(F.col("v_")))
     )
-    levels = [F.col("e_"), *(_fraction(F.col("v_"), F.col("e_"), n * STEP_BITS) for n in (1, 2))]
+    first, more = (_fraction(F.col("v_"), F.col("e_"), bits) for bits in (FIRST_BITS, NEXT_BITS))
+    levels = [F.struct("e_", first.alias("f_")), more]
     left: DataFrame | None = None
     for level in levels:
         counts = counts.withColumn("b_", level)
