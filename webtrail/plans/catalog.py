@@ -25,7 +25,7 @@ from ..operators import store as ST
 from ..operators import workers as W
 from ..operators.quantiles import exact_quantile
 from ..params import DEFAULTS
-from ..session import cut_lineage, shared_dir, spread
+from ..session import shared_dir, spread
 from ..sources import files as SF
 from ..sources import snapshots as SN
 from ..streaming import ingest as SI
