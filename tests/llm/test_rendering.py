@@ -32,6 +32,20 @@ def test_layout(page, text):
     assert R.render(page) == text
 
 
+HEADS = [
+    ("<html><head><title>T</title></head><body><p>x</body></html>", "x"), ("<html><head><title>T</title><body><p>x", "x"),
+    ("<head><meta charset=utf-8> \n <p>x</p>y", "x\n\ny"), ("<head><title>T</title>text <b>b</b>", "text b"),
+    ("<head><style>s</style><script>t</script><div>x</div>", "x"), ("<head><link rel=a><span>x</span></head>y", "xy"),
+    ("<head><head><p>x", "x"), ("a<head>b", "ab"), ("<head></br>x", "x"),
+    ("<head><noscript><link rel=a><p>no</p></noscript><template>no</template><body>x", "x"),
+]
+
+
+@pytest.mark.parametrize("page, text", HEADS)
+def test_head_without_end_tag(page, text):
+    assert R.render(page) == text
+
+
 @pytest.mark.parametrize("page", [
     "<div>" * 200_000 + "x", '<a href="x' * 100_000, "<script>" * 100_000, "<p><li><td></b>" * 30_000,
     "<b><p>" * 30_000 + "</i></b></p>" * 30_000, "<ul><li>" * 5_000 + "x", "<table><tr><td>" * 3_000 + "x",

@@ -5,6 +5,7 @@ that HTML implies, and a renderer lays out what a reader would see.
 
 * Implied tags: void elements take no content; a block ends an open paragraph; list items,
   terms, options, rows, cells and table sections end their predecessors; a cell makes its row.
+  Text and any tag that may not stand in ``head`` end an open head.
   An end tag closes everything up to its element and is ignored if there is none.
 * Visibility: no scripts, styles, templates, comments, head or embedded content; nothing below
   ``hidden``, ``aria-hidden=true``, ``display:none`` or ``visibility:hidden``.
@@ -43,6 +44,7 @@ BLOCKS = APART | frozenset(
 SECTIONS = frozenset(("thead", "tbody", "tfoot"))
 CELLS = frozenset(("td", "th"))
 LISTS = frozenset(("ul", "ol", "menu", "dir"))
+IN_HEAD = frozenset("base basefont bgsound link meta title noscript noframes style script template head".split())
 CELL_WIDTH = 80
 GAP = "  "
 SMALL = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
@@ -182,7 +184,14 @@ class Builder:
             while len(self.stack) > depth:
                 self.depths[self.stack.pop().tag].pop()
 
+    def end_head(self) -> None:
+        """The head ends, with or without its end tag, before what may not stand in it."""
+        while self.stack[-1].tag == "head":
+            self.close(("head",))
+
     def open(self, tag: str, attrs) -> None:
+        if tag not in IN_HEAD:
+            self.end_head()
         if tag in BLOCKS and tag not in ("html", "body"):
             self.close(("p",), ("td", "th", "caption", "table"))
         if tag == "li":
@@ -205,10 +214,13 @@ class Builder:
     def feed(self, page: str) -> Element:
         for kind, value, attrs in Scanner(page):
             if kind == "text":
+                if self.stack[-1].tag == "head" and value.strip(BLANK):
+                    self.end_head()
                 self.stack[-1].children.append(value)
             elif kind == "open":
                 self.open(value, attrs)
             elif value == "br":
+                self.end_head()
                 self.push("br")
             else:
                 within = () if value in ("table", "body", "html") else ("table",) if value in CELLS | SECTIONS | {"tr"} else CELLS
