@@ -32,6 +32,22 @@ def test_layout(page, text):
     assert R.render(page) == text
 
 
+STRAY = [
+    ("<table>Note<tr><td>a</table>", "Note\n\na"), ("x<table><tr><td>a<td>b</tr>late</table>y", "x\n\nlate\n\na  b\n\ny"),
+    ("<table><p>one</p><tbody><div>two</div><tr><form>three</form><td>a</table>", "one\n\ntwo\nthree\n\na"),
+    ("<table><tr><table><tr><td>1<td>2</table><td>a</table>", "1  2\n\na"),
+    ("<table><tr><table>Note<tr><td>1</table></table>", "Note\n\n1"),
+    ("<table><caption>C</caption>Note<tr><td>a</table>", "Note\n\nC\na"),
+    ("<ul><li>i<table>Note<tr><td>a</table></ul>", "- i\n\n  Note\n\n  a"), ("<table>\n<tr>\n<td>a\n</table>b", "a\n\nb"),
+    ("<table>Note", "Note"),
+]
+
+
+@pytest.mark.parametrize("page, text", STRAY)
+def test_text_in_a_table_outside_of_cells(page, text):
+    assert R.render(page) == text
+
+
 HEADS = [
     ("<html><head><title>T</title></head><body><p>x</body></html>", "x"), ("<html><head><title>T</title><body><p>x", "x"),
     ("<head><meta charset=utf-8> \n <p>x</p>y", "x\n\ny"), ("<head><title>T</title>text <b>b</b>", "text b"),

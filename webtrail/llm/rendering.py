@@ -13,6 +13,7 @@ that HTML implies, and a renderer lays out what a reader would see.
   blocks by a line break. Items are marked ``-`` or numbered (from ``start``) and indented by
   level. ``pre`` keeps its blanks. A table whose cells have one line of at most ``CELL_WIDTH``
   characters is aligned in columns; the cells of any other table are blocks one after another.
+  What stands in a table outside of its cells and captions comes before it.
 
 Every step is one pass over the page without recursion, so depth and unclosed tags cost no more
 than their length. A null or empty page gives an empty text. Repeated rows, null ids and other
@@ -362,9 +363,10 @@ def layout(root: Element) -> str:
                 cell, lines = lines.finished(), outer.pop()
                 tables[-1].titles.append(cell)
             elif tag == "table":
-                lines = outer.pop()
+                stray, lines = lines.finished(), outer.pop()
                 made = tables.pop()
                 lines.rest(True)
+                lines.add(stray)
                 lines.add([x for t in made.titles for x in t] + made.aligned())
             else:
                 if tag in LISTS:
