@@ -48,6 +48,28 @@ def test_text_in_a_table_outside_of_cells(page, text):
     assert R.render(page) == text
 
 
+FORMULAS = [
+    ("<p>so <math><mi>a</mi><mo>=</mo><mn>2</mn></math> holds", "so a=2 holds"),
+    ("<math><semantics><mi>x</mi><annotation encoding='application/x-tex'>no</annotation></semantics></math>y", "xy"),
+    ("<math><mtext>if <b>all</b></mtext><mphantom>no</mphantom></math>.", "if all."), ("<math><mspace/><mtext/><mi>&alpha;</mi></math>b", "αb"),
+    ("a<svg><title>no</title><desc>no</desc><g>no<path d='x'/><text>one <tspan>two</tspan></text><text>three</text></g></svg>b", "a one two three b"),
+    ("<svg><style/><desc/><text><![CDATA[1 < 2 &amp;]]></text></svg>y", "1 < 2 &amp; y"), ("<svg/>a<math/>b", "ab"),
+    ("<svg><defs><text>no</text></defs><text display=none>no</text><foreignObject><p>seen<div/>too</foreignObject></svg>z", "seen\n\ntoo\nz"),
+    ("<svg><path><p>broken out</p>of it", "broken out\n\nof it"), ("<desc>a</desc> <metadata>b</metadata> <g>c</g>", "a b c"),
+    ("<math style='display:none'><mi>x</mi></math><svg aria-hidden=true><text>x</text></svg>y", "y"), ("<br/><script/>no</script>y", "y"),
+]
+
+
+@pytest.mark.parametrize("page, text", FORMULAS)
+def test_formulas_and_drawings(page, text):
+    assert R.render(page) == text
+
+
+@pytest.mark.parametrize("page", ["<svg><g>" * 50_000 + "x", "<svg>" + "<path/><text>a</text>" * 50_000, "<math><mi>" * 50_000 + "<p>" * 50_000, "<svg><![CDATA[" * 50_000])
+def test_costly_drawings(page):
+    test_costly_pages(page)
+
+
 HEADS = [
     ("<html><head><title>T</title></head><body><p>x</body></html>", "x"), ("<html><head><title>T</title><body><p>x", "x"),
     ("<head><meta charset=utf-8> \n <p>x</p>y", "x\n\ny"), ("<head><title>T</title>text <b>b</b>", "text b"),

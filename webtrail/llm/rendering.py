@@ -7,8 +7,10 @@ that HTML implies, and a renderer lays out what a reader would see.
   terms, options, rows, cells and table sections end their predecessors; a cell makes its row.
   Text and any tag that may not stand in ``head`` end an open head.
   An end tag closes everything up to its element and is ignored if there is none.
-* Visibility: no scripts, styles, templates, comments, head or embedded content; nothing below
-  ``hidden``, ``aria-hidden=true``, ``display:none`` or ``visibility:hidden``.
+* Visibility: no scripts, styles, templates, comments, head or embedded content, nor form fields
+  (``textarea``, ``select``); nothing below ``hidden``, ``aria-hidden=true``, ``display:none`` or
+  ``visibility:hidden``. Formulas and the texts of drawings are seen, but not what describes or
+  defines them; HTML tags end a drawing or formula that is left open.
 * Layout: paragraphs, headings, lists, tables and quotes stand apart by a blank line, other
   blocks by a line break. Items are marked ``-`` or numbered (from ``start``) and indented by
   level. ``pre`` keeps its blanks. A table whose cells have one line of at most ``CELL_WIDTH``
@@ -34,8 +36,8 @@ from .common import text_pieces
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 UNSEEN = frozenset(
-    "head title script style template noscript noembed noframes iframe object embed applet audio video canvas svg "
-    "math datalist textarea select area base link meta param source track map".split()
+    "head title script style template noscript noembed noframes iframe object embed applet audio video canvas "
+    "datalist textarea select area base link meta param source track map".split()
 )
 APART = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure hr menu dir".split())
 BLOCKS = APART | frozenset(
@@ -46,6 +48,21 @@ SECTIONS = frozenset(("thead", "tbody", "tfoot"))
 CELLS = frozenset(("td", "th"))
 LISTS = frozenset(("ul", "ol", "menu", "dir"))
 IN_HEAD = frozenset("base basefont bgsound link meta title noscript noframes style script template head".split())
+FOREIGN = ("svg", "math")
+#: Inside of drawings and formulas: HTML may stand in these,
+HOLDS_HTML = ("foreignobject", "desc", "title", "annotation-xml", "mi", "mo", "mn", "ms", "mtext")
+#: these HTML tags end one that is open,
+ENDS_FOREIGN = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta "
+    "nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
+#: these are not seen,
+FOREIGN_UNSEEN = frozenset(
+    "annotation annotation-xml mphantom desc metadata defs symbol clippath mask marker pattern lineargradient "
+    "radialgradient filter".split()
+)
+#: and text directly in these is not drawn.
+SHAPES = frozenset("svg g path rect circle ellipse line polyline polygon use image switch view".split())
 CELL_WIDTH = 80
 GAP = "  "
 SMALL = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
@@ -59,19 +76,21 @@ HIDING = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden
 
 
 class Element:
-    __slots__ = ("tag", "attrs", "children")
+    __slots__ = ("tag", "attrs", "children", "foreign")
 
     def __init__(self, tag: str, attrs: dict[str, str] | None = None):
-        self.tag, self.attrs, self.children = tag, attrs or {}, []
+        self.tag, self.attrs, self.children, self.foreign = tag, attrs or {}, [], False
 
     def visible(self) -> bool:
-        if self.tag in UNSEEN:
+        if self.tag in UNSEEN or self.foreign and self.tag in FOREIGN_UNSEEN:
             return False
         a = self.attrs
         if not a:
             return True
         if "hidden" in a or a.get("aria-hidden", "").lower() == "true":
             return False
+        if self.foreign and (a.get("display") == "none" or a.get("visibility") in ("hidden", "collapse")):
+            return False
         return not ("style" in a and HIDING.search(a["style"]))
 
 
@@ -82,12 +101,16 @@ class Scanner:
         self.page = page
         self.last = {q: page.rfind(q) for q in "\"'"}
         self.lower: str | None = None
+        #: Inside of a drawing or formula, as the reader of the tags has it.
+        self.foreign = False
+        self.slash = False
 
     def attributes(self, at: int) -> tuple[dict[str, str], int]:
         """Attributes from ``at`` on, and where the tag ends."""
         page, found = self.page, {}
         while True:
-            at = SKIP.match(page, at).end()
+            before, at = at, SKIP.match(page, at).end()
+            self.slash = at > before and page[at - 1] == "/"
             if at >= len(page):
                 return found, at
             if page[at] == ">":
@@ -124,7 +147,12 @@ class Scanner:
             if start > at:
                 yield "text", page[at:start], None
             mark = page[start + 1 : start + 2]
-            if mark == "!" or mark == "?":
+            if self.foreign and page.startswith("<![CDATA[", start):
+                end = page.find("]]>", start)
+                end = size if end < 0 else end
+                yield "text", page[start + 9 : end].replace("&", "&amp;"), None
+                at = end + 3
+            elif mark == "!" or mark == "?":
                 closing = "-->" if page.startswith("<!--", start) else ">"
                 end = page.find(closing, start + 2)
                 at = size if end < 0 else end + len(closing)
@@ -136,7 +164,9 @@ class Scanner:
                 tag = m.group().lower()
                 attrs, at = self.attributes(m.end())
                 yield "open", tag, attrs
-                if tag in RAW:
+                if self.foreign and self.slash:
+                    yield "close", tag, None
+                elif tag in RAW:
                     end = self.closing(tag, at)
                     yield "text", page[at:end], None
                     yield "close", tag, None
@@ -169,6 +199,7 @@ class Builder:
 
     def push(self, tag: str, attrs=None) -> None:
         made = Element(tag, attrs)
+        made.foreign = tag in FOREIGN or self.foreign()
         self.stack[-1].children.append(made)
         if tag not in VOID:
             self.depths.setdefault(tag, []).append(len(self.stack))
@@ -185,6 +216,10 @@ class Builder:
             while len(self.stack) > depth:
                 self.depths[self.stack.pop().tag].pop()
 
+    def foreign(self) -> bool:
+        """Inside of a drawing or formula, and not in HTML inside of it."""
+        return self.stack[-1].foreign and self.stack[-1].tag not in HOLDS_HTML
+
     def end_head(self) -> None:
         """The head ends, with or without its end tag, before what may not stand in it."""
         while self.stack[-1].tag == "head":
@@ -193,6 +228,9 @@ class Builder:
     def open(self, tag: str, attrs) -> None:
         if tag not in IN_HEAD:
             self.end_head()
+        if tag in ENDS_FOREIGN or tag == "font" and not {"color", "face", "size"}.isdisjoint(attrs):
+            while self.foreign():
+                self.close(FOREIGN)
         if tag in BLOCKS and tag not in ("html", "body"):
             self.close(("p",), ("td", "th", "caption", "table"))
         if tag == "li":
@@ -213,7 +251,8 @@ class Builder:
         self.push(tag, attrs)
 
     def feed(self, page: str) -> Element:
-        for kind, value, attrs in Scanner(page):
+        scanner = Scanner(page)
+        for kind, value, attrs in scanner:
             if kind == "text":
                 if self.stack[-1].tag == "head" and value.strip(BLANK):
                     self.end_head()
@@ -226,6 +265,7 @@ class Builder:
             else:
                 within = () if value in ("table", "body", "html") else ("table",) if value in CELLS | SECTIONS | {"tr"} else CELLS
                 self.close((value,), within)
+            scanner.foreign = self.stack[-1].foreign
         return self.root
 
 
@@ -418,7 +458,11 @@ def layout(root: Element) -> str:
                     lines.mark = "" if lines.indent == 0 else lines.mark
         if block:
             work.append((node, True))
-        work += [(c, False) for c in reversed(node.children)]
+        if node.foreign and tag == "text":
+            lines.space = True
+            work.append((" ", False))
+        drawn = not (node.foreign and tag in SHAPES)
+        work += [(c, False) for c in reversed(node.children) if drawn or not isinstance(c, str)]
     return "\n".join(lines.finished())
 
 
