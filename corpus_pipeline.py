@@ -1,8 +1,9 @@
 """From documents to training sequences: five stages, each over all that the one before kept.
 
 Every stage takes (spark, docs, sf_dir) and, but for the last, returns the columns of
-``documents``. Rows that share an id count as one document in the stages that drop whole
-documents. No stage can be expressed in SQL as a whole, so there is no ``ORACLE_SQL``.
+``documents``. The stages that drop whole documents decide by row: rows that share an id, or
+have none, stay or go each on its own. No stage can be expressed in SQL as a whole, so there is
+no ``ORACLE_SQL``.
 """
 
 from __future__ import annotations
@@ -11,19 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webtrail.llm.common import written
-from webtrail.llm.decontaminate import matches
+from webtrail.llm.decontaminate import without
 from webtrail.llm.packing import pack
 from webtrail.llm.simhash import near_duplicates
 from webtrail.llm.suffixes import remove_repeats
 from webtrail.llm.toxicity import categories_of_labels, score, train
 
 ORACLE_SQL = None
-
-
-def _with_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Rows of ``docs`` whose id is (``left_semi``) or is not (``left_anti``) among ``ids``; null is an id."""
-    named = ids.select(F.col("doc_id").alias("chosen_id")).distinct()
-    return docs.join(named, F.col("doc_id").eqNullSafe(F.col("chosen_id")), how)
+#: The number of a row in the SimHash stage.
+ROW = "_row"
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,9 +30,13 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates."""
-    found = near_duplicates(docs)
-    return _with_ids(docs, found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))), "left_semi")
+    """One row of each group of near duplicates: one with the smallest id (null comes first)."""
+    # written, so that a row has the same number whenever it is read
+    rows = written(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered-rows")
+    found = near_duplicates(rows.select(F.col(ROW).alias("doc_id"), "text"))
+    groups = found.select(F.col("doc_id").alias(ROW), "component_id").join(rows.select(ROW, "doc_id"), ROW)
+    first = groups.groupBy("component_id").agg(F.min(F.struct("doc_id", ROW)).alias("least"))
+    return rows.join(first.select(f"least.{ROW}"), ROW, "left_semi").select(*docs.columns)
 
 
 def suffix_array(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,8 +48,7 @@ def suffix_array(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item within its edit budget."""
-    found = matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _with_ids(docs, found, "left_anti")
+    return without(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ import corpus_pipeline as C
 from webtrail.llm import decontaminate as D
 from webtrail.llm import packing as P
 
+from .conftest import documents
 from .test_packing import plain_pieces, sound
 from .test_simhash import plain_groups
 from .test_suffixes import plain
@@ -55,3 +56,22 @@ def test_no_documents(spark, sf_dir):
     for name, stage in C.STAGES:
         docs = C.written(stage(spark, docs, sf_dir), name)
     assert docs.collect() == []
+
+
+def test_rows_without_an_id_of_their_own(spark, sf_dir, monkeypatch):
+    """Null and repeated ids: one row of each group stays, and only rows that hold an item go."""
+    words = [" ".join(f"w{k}x{j}" for j in range(40)) for k in range(6)]
+    rows = [(None, words[0]), (None, words[0]), (None, words[1]), (7, words[2]), (7, words[2]), (7, words[3]),
+            (3, words[4]), (9, words[4]), (9, words[4]), (None, words[5]), (2, words[5]), (None, None), (4, "")]
+    got = C.simhash(spark, documents(spark, rows), sf_dir)
+    assert got.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+    want = [(None, words[0]), (None, words[1]), (7, words[2]), (7, words[3]), (3, words[4]), (None, words[5]), (None, None)]
+    assert sorted(rows_of(got), key=str) == sorted(want, key=str)
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").first().text
+    rows = [(None, f"a {item} b"), (None, "clean"), (None, "clean"), (5, f"{item} c"), (5, "clean too"), (6, None), (8, "")]
+    want = [r for r in rows if item not in (r[1] or "")]
+    for most in (D.BLOCK_CHARS, 500):
+        monkeypatch.setattr(D, "BLOCK_CHARS", most)
+        got = C.decontamination(spark, documents(spark, rows), sf_dir)
+        assert got.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+        assert sorted(rows_of(got), key=str) == sorted(want, key=str)

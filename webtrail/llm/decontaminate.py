@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -120,16 +121,42 @@ def matches(docs: DataFrame, items: DataFrame, rate: float = EDIT_RATE) -> DataF
 
     ``end`` is where the best match ends in the compared form of the text.
     """
+    made = None
+    for rows in _blocks(items):
+        part = _of_block(docs, rows, rate)
+        made = part if made is None else made.union(part)
+    return made
+
+
+def without(docs: DataFrame, items: DataFrame, rate: float = EDIT_RATE) -> DataFrame:
+    """The rows of ``docs`` that hold no item; each row is searched and kept or dropped by itself."""
+    at = docs.columns.index("text")
+    for rows in _blocks(items):
+        docs = _rest_of_block(docs, at, rows, rate) if rows else docs
+    return docs
+
+
+def _blocks(items: DataFrame) -> Iterator[list[tuple]]:
+    """The searched items as (item_id, plain text), one block after another; at least one block."""
     found = items.select(F.col("item_id").cast("long"), "text").distinct()
     chars = found.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(chars / BLOCK_CHARS))
-    made = None
     for b in range(blocks):
         of_block = found.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
         rows = {(r.item_id, t) for r in of_block.collect() if len(t := plain(r.text)) >= LEAST_CHARS}
-        part = _of_block(docs, sorted(rows, key=str), rate)
-        made = part if made is None else made.union(part)
-    return made
+        yield sorted(rows, key=str)
+
+
+def _rest_of_block(docs: DataFrame, at: int, rows: list[tuple], rate: float) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(rows)
+
+    def run(batches):
+        matcher = Matcher(shared.value, rate)
+        for batch in batches:
+            for part, _ in text_pieces(batch, at, 4 << 20):
+                yield part.filter(pa.array([not matcher.search(plain(t)) for t in part.column(at).to_pylist()]))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def _of_block(docs: DataFrame, rows: list[tuple], rate: float) -> DataFrame:
