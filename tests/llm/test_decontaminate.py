@@ -60,6 +60,18 @@ def test_every_match_within_the_budget(spark):
     assert sorted(made, key=str) == sorted(want, key=str) and len(want) > 15
 
 
+def test_short_items_as_they_stand(spark):
+    items = [(1, "Who  was Ada?"), (2, "42"), (3, "a" * (D.LEAST_CHARS - 1)), (4, " "), (5, None), (6, "$x = 1$"), (7, "Über")]
+    docs = [(1, "so: who was\nADA? she"), (2, "1423 x42 42nd 42"), (3, "1423 x42 42nd"), (4, "who was adam?"), (5, "a" * 40),
+            (6, "b " + "a" * (D.LEAST_CHARS - 1)), (7, "y$x = 1$2 (42)."), (8, "überall"), (9, "\u00dcber"), (10, None), (None, "42")]
+    table = spark.createDataFrame(items, SHAPE)
+    got = [(x.doc_id, x.item_id, x.distance, x.budget, x.end) for x in D.matches(documents(spark, docs), table).collect()]
+    want = [(1, 1, 0, 0, 16), (2, 2, 0, 0, 16), (6, 3, 0, 0, 33), (7, 2, 0, 0, 13), (7, 6, 0, 0, 8), (9, 7, 0, 0, 4), (None, 2, 0, 0, 2)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    kept = D.without(documents(spark, docs), table).collect()
+    assert sorted(x.doc_id for x in kept) == [3, 4, 5, 8, 10]
+
+
 def test_items_in_blocks(spark, monkeypatch):
     items = spark.createDataFrame([(k, f"the item number {k} of a small benchmark table") for k in range(20)], SHAPE)
     docs = documents(spark, [(k, f"x the item number {k} of a small benchmark table y") for k in range(20)])

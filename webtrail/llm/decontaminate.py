@@ -7,8 +7,9 @@ the item into some part of the text. Windows of an item that overlap are joined
 text costs at most its length for each item that it hits.
 
 Texts and items are compared in lower case with runs of white space as one blank. The budget
-is ``EDIT_RATE`` of an item's length. Items shorter than ``LEAST_CHARS`` cannot be told from
-chance and are not searched; null and empty items are such. Items are taken in blocks of
+is ``EDIT_RATE`` of an item's length. Items shorter than ``LEAST_CHARS`` with edits cannot be told
+from chance: they are searched as they stand, where no letter or digit goes on at either end. Null
+and empty items are not searched. Items are taken in blocks of
 ``BLOCK_CHARS``, so a benchmark of any size never meets a worker as a whole. A null or empty
 text holds nothing. Null ids are reported as null; repeated rows of either table are reported
 as often as the document is there, and once for equal items.
@@ -49,6 +50,12 @@ class Item:
         for i, c in enumerate(text):
             self.masks[c] |= 1 << i
 
+    def stands_at(self, text: str, at: int) -> bool:
+        """Whether the item, found at ``at``, cuts no word of ``text`` at its ends."""
+        end = at + self.size
+        left = at > 0 and text[at - 1].isalnum() and text[at].isalnum()
+        return not left and not (end < len(text) and text[end - 1].isalnum() and text[end].isalnum())
+
     def distance(self, text: str) -> tuple[int, int]:
         """(fewest edits to some part of ``text``, where the first such part ends)."""
         if (at := text.find(self.text)) >= 0:
@@ -82,7 +89,7 @@ class Matcher:
     def __init__(self, items: list[tuple], rate: float):
         import ahocorasick
 
-        self.items = [Item(i, t, rate) for i, t in items]
+        self.items = [Item(i, t, rate if len(t) >= LEAST_CHARS else 0) for i, t in items]
         places = defaultdict(list)
         for k, item in enumerate(self.items):
             for a, b in cuts(item.size, item.budget):
@@ -101,6 +108,11 @@ class Matcher:
         made = []
         for k, starts in hits.items():
             item = self.items[k]
+            if item.size < LEAST_CHARS:
+                ends = [s + item.size for s in starts if item.stands_at(text, s)]
+                if ends:
+                    made.append((item.item_id, 0, 0, min(ends)))
+                continue
             best, at, region = item.budget + 1, 0, None
             for s in [*sorted(starts), None]:
                 a, b = (s - item.budget, s + item.size + item.budget) if s is not None else (math.inf, 0)
@@ -143,7 +155,7 @@ def _blocks(items: DataFrame) -> Iterator[list[tuple]]:
     blocks = max(1, math.ceil(chars / BLOCK_CHARS))
     for b in range(blocks):
         of_block = found.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
-        rows = {(r.item_id, t) for r in of_block.collect() if len(t := plain(r.text)) >= LEAST_CHARS}
+        rows = {(r.item_id, t) for r in of_block.collect() if (t := plain(r.text))}
         yield sorted(rows, key=str)
 
 
