@@ -57,6 +57,16 @@ def test_hard_rows(spark):
     assert rows == sorted([(1, False), (2, False), (None, True), (7, False), (7, False), (8, True)], key=str)
 
 
+def test_a_repeated_id_counts_once(spark):
+    docs, labels = made(60)
+    labels = spark.createDataFrame(labels, LABELS)
+    once = T.train(documents(spark, docs), labels, T.categories_of_labels())
+    often = T.train(documents(spark, docs + docs[5:6] * 200), labels, T.categories_of_labels())
+    for a, b in zip(once.links, often.links):
+        assert a.bias == b.bias and list(a.kept) == list(b.kept) and list(a.weights) == list(b.weights)
+    assert once.threshold == often.threshold
+
+
 def test_scorer_agrees_with_the_fitted_features():
     docs, labels = made()
     found = [T.features(t) for _, t in docs]

@@ -212,7 +212,9 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], mos
             )
 
     shape = "id long, found binary, " + ", ".join(f"{n} int" for n in names)
-    ready = written(chosen.mapInArrow(extract, shape), "labelled-features")
+    # rows that share an id are one labelled document: the bound is on ids, and none outweighs others
+    single = chosen.mapInArrow(extract, shape).groupBy("id", *names).agg(F.min("found").alias("found"))
+    ready = written(single.select("id", "found", *names), "labelled-features")
     kinds = tuple(categories)
 
     def fit(batches):
