@@ -33,6 +33,10 @@ END_ID = 0
 TOKENIZER = "word_bpe_49k.json"
 #: Words whose ids a worker remembers; beyond that it starts anew.
 REMEMBERED = 700_000
+#: Words of letters that are encoded as one text.
+TOGETHER = 2_000
+#: How the tokenizer marks the last token of a run (fixed value).
+WORD_END = "</w>"
 #: Longer words are encoded for each batch.
 LONGEST_REMEMBERED = 48
 #: ASCII symbols but the apostrophe, which can begin an ending.
@@ -61,12 +65,35 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.words: dict[str, bytes] = {"": b""}
         self.stems: dict[str, bytes] = {"": b""}
+        vocabulary = self.tokenizer.get_vocab()
+        #: Ids that end a run of letters, digits or symbols.
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+
+    def _apart(self, parts: list[str]) -> None:
+        for part, found in zip(parts, self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)):
+            self.stems[part] = np.array(found.ids, "<u4").tobytes()
+
+    def _together(self, parts: list[str]) -> None:
+        """Words of letters only, encoded as one text: each has one id that ends a word, its last."""
+        text = " ".join(parts)
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        cuts = np.flatnonzero(self.ends[ids]) + 1
+        if len(cuts) != len(parts):
+            self._apart(parts)
+            return
+        data, at = ids.tobytes(), 0
+        for part, end in zip(parts, (4 * cuts).tolist()):
+            self.stems[part] = data[at:end]
+            at = end
 
     def _learn(self, words: set[str]) -> None:
         split = [(w, *stem(w)) for w in words]
         new = [x for x in {p for _, *parts in split for p in parts} if x not in self.stems]
-        for part, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.stems[part] = np.array(found.ids, "<u4").tobytes()
+        plain = [x for x in new if x.isalpha() and (x.isascii() or max(x) < "\u0250")]
+        for at in range(0, len(plain), TOGETHER):
+            self._together(plain[at : at + TOGETHER])
+        self._apart([x for x in new if x not in self.stems])
         for word, head, tail in split:
             self.words[word] = self.stems[head] + self.stems[tail]
         for part in new:
@@ -94,6 +121,8 @@ class Encoder:
 
 def stem(word: str) -> tuple[str, str]:
     """The word without the ASCII symbols at its end, if it can be told apart; and these."""
+    if word.isalpha():
+        return (word.lower() if word.isascii() else word), ""
     head = word.rstrip(SYMBOLS)
     if not head or len(head) == len(word) or "<|" in word:
         return (word.lower() if word.isascii() and "<|" not in word else word), ""
