@@ -40,6 +40,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructType
 
 from .common import NO_ID, from_planes, planes, text_pieces, written
 
@@ -121,6 +122,7 @@ class Layout:
         order = np.argsort(ids, kind="stable")
         self.order = order
         self.ids, self.tags = ids[order], tags[order]
+        self.rows: dict[tuple, list[int]] | None = None
         seen = set()
         #: False for repetitions of a row.
         self.single = np.array([not (k in seen or seen.add(k)) for k in zip(self.ids, self.tags)], bool)
@@ -157,12 +159,15 @@ class Layout:
         docs = np.searchsorted(self.starts, starts, side="right") - 1
         return docs, starts - self.starts[docs]
 
-    def find(self, ids: np.ndarray, tags: np.ndarray) -> list[tuple[int, int]]:
+    def find(self, ids: np.ndarray, tags: np.ndarray) -> np.ndarray:
         """For each (id, tag): pairs (row of the request, document here); repeated rows all match."""
-        rows = {}
-        for k, key in enumerate(zip(self.ids.tolist(), self.tags.tolist())):
-            rows.setdefault(key, []).append(k)
-        return [(i, k) for i, key in enumerate(zip(ids.tolist(), tags.tolist())) for k in rows.get(key, ())]
+        if self.rows is None:
+            self.rows = {}
+            for k, key in enumerate(zip(self.ids.tolist(), self.tags.tolist())):
+                self.rows.setdefault(key, []).append(k)
+        known = self.rows.get
+        made = [(i, k) for i, key in enumerate(zip(ids.tolist(), tags.tolist())) for k in known(key, ())]
+        return np.array(made, np.int64).reshape(-1, 2)
 
 
 def pack(ids, tags, offs, *more: np.ndarray) -> bytes:
@@ -258,6 +263,7 @@ def _rows(made: list[tuple]) -> pa.RecordBatch:
 
 
 ROWS = "part long, kind int, blob binary"
+NUMBERS = ("n_bytes", "n_removed", "n_spans")
 #: Kinds of rows.
 BUCKET, DECIDED, CONTESTED, REMOVED, WINDOWS = range(5)
 
@@ -385,7 +391,7 @@ def _beside(docs: DataFrame, rows: DataFrame, q: int, carry: list[str] = ()) ->
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"),
         F.hash(F.coalesce("text", F.lit(""))).alias("tag"),
         F.coalesce("text", F.lit("")).cast("binary").alias("text"),
-        F.struct(F.col("doc_id"), *carry).alias("rest"),
+        F.struct(*(docs[f"`{c.replace('`', '``')}`"].alias(f"c{k}") for k, c in enumerate(["doc_id", *carry]))).alias("rest"),
     )
     texts = keyed.select(
         F.pmod("id", F.lit(q)).alias("part"), F.lit(9).alias("kind"), F.lit(None).cast("binary").alias("blob"), "*"
@@ -439,10 +445,11 @@ def _at(x: Layout, blobs, kind: int) -> tuple[np.ndarray, np.ndarray]:
             continue
         d, ids, tags, o = unpack(blob)
         bounds = np.searchsorted(d, np.arange(len(ids) + 1))
-        for row, doc in x.find(ids, tags):
-            part = o[bounds[row] : bounds[row + 1]]
-            offs.append(part)
-            docs.append(np.full(len(part), doc))
+        rows, here = x.find(ids, tags).T
+        first, sizes = bounds[rows], bounds[rows + 1] - bounds[rows]
+        before = np.cumsum(sizes) - sizes
+        offs.append(o[np.arange(int(sizes.sum())) + np.repeat(first - before, sizes)])
+        docs.append(np.repeat(here, sizes))
     return np.concatenate(docs), np.concatenate(offs)
 
 
@@ -510,6 +517,7 @@ def _window_ranks(windows: DataFrame, q: int) -> DataFrame:
 def remove_repeats(docs: DataFrame, carry: list[str] = (), keep: bool = True) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` and the columns named in ``carry``.
 
+    A carried column of the name of a result is not returned.
     ``kept`` has the text that stays (null unless ``keep``), without the parts of characters
     that a cut has left; the hash is over all bytes that stay. One row for each input row.
     """
@@ -526,7 +534,6 @@ def remove_repeats(docs: DataFrame, carry: list[str] = (), keep: bool = True) ->
     more = written(_window_ranks(windows, q), "window-ranks")
     removed = windows.filter(F.col("kind") == REMOVED).union(more)
     carry = list(carry)
-    kind = docs.select(F.struct("doc_id", *carry).alias("rest")).schema["rest"].dataType.simpleString()
 
     def run(batches):
         for blobs, table in _groups(batches):
@@ -556,10 +563,15 @@ def remove_repeats(docs: DataFrame, carry: list[str] = (), keep: bool = True) ->
                 ["rest", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"],
             )
 
-    shape = f"rest {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
-    out = _beside(docs, removed, q, carry).mapInArrow(run, shape)
+    beside = _beside(docs, removed, q, carry)
+    shape = StructType([beside.schema["rest"]])
+    for name, kind in (*((n, LongType()) for n in NUMBERS), ("kept_sha256", StringType()), ("kept", StringType())):
+        shape = shape.add(name, kind)
+    out = beside.mapInArrow(run, shape)
+    made = [*NUMBERS, "kept_sha256", "kept"]
+    others = [(k, c) for k, c in enumerate(carry, 1) if c not in ("doc_id", *made)]
     return out.select(
-        "rest.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", *(f"rest.{c}" for c in carry)
+        F.col("rest.c0").alias("doc_id"), *made, *(F.col(f"rest.c{k}").alias(c) for k, c in others)
     )
 
 
