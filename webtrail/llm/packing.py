@@ -22,6 +22,7 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -31,16 +32,18 @@ from .common import text_pieces, written
 CAPACITY = 2048
 END_ID = 0
 TOKENIZER = "word_bpe_49k.json"
-#: Words whose ids a worker remembers; beyond that it starts anew.
-REMEMBERED = 700_000
-#: Words of letters that are encoded as one text.
+#: Bytes of text whose words are numbered together.
+CHUNK_BYTES = 16 << 20
+#: Words that are encoded in one call.
 TOGETHER = 2_000
 #: How the tokenizer marks the last token of a run (fixed value).
 WORD_END = "</w>"
-#: Longer words are encoded for each batch.
-LONGEST_REMEMBERED = 48
-#: ASCII symbols but the apostrophe, which can begin an ending.
-SYMBOLS = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
+#: Special tokens begin so (fixed value); their words are encoded as they stand.
+SPECIAL = "<|"
+#: Letters that stay one letter in lower case, and ASCII symbols but the apostrophe, which can begin
+#: an ending; as in a regular expression.
+LETTERS = "A-Za-zªµºÀ-ÖØ-öø-įı-ɏ"
+SYMBOLS = r"""!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~"""
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -50,12 +53,12 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 class Encoder:
-    """Token ids of texts, word by word.
+    """Token ids of many texts, each different word encoded once.
 
     The tokenizer never merges across white space and drops it, so a text's ids are those of
-    its words one after another. It does not merge letters or digits with symbols either, so
-    symbols that end a word have ids of their own (``stem``). Words and stems repeat; their ids
-    are remembered.
+    its words one after another. It does not merge letters with symbols either, so the symbols
+    that end a word have ids of their own. Words are numbered in Arrow, those of letters (and of letters and
+    symbols) are taken apart and encoded many at a time, and ids are put in place by arrays.
     """
 
     def __init__(self, path: str):
@@ -63,73 +66,96 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {"": b""}
-        self.stems: dict[str, bytes] = {"": b""}
         vocabulary = self.tokenizer.get_vocab()
         #: Ids that end a run of letters, digits or symbols.
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
 
-    def _apart(self, parts: list[str]) -> None:
-        for part, found in zip(parts, self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)):
-            self.stems[part] = np.array(found.ids, "<u4").tobytes()
-
-    def _together(self, parts: list[str]) -> None:
-        """Words of letters only, encoded as one text: each has one id that ends a word, its last."""
-        text = " ".join(parts)
-        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-        cuts = np.flatnonzero(self.ends[ids]) + 1
-        if len(cuts) != len(parts):
-            self._apart(parts)
-            return
-        data, at = ids.tobytes(), 0
-        for part, end in zip(parts, (4 * cuts).tolist()):
-            self.stems[part] = data[at:end]
-            at = end
-
-    def _learn(self, words: set[str]) -> None:
-        split = [(w, *stem(w)) for w in words]
-        new = [x for x in {p for _, *parts in split for p in parts} if x not in self.stems]
-        plain = [x for x in new if x.isalpha() and (x.isascii() or max(x) < "\u0250")]
-        for at in range(0, len(plain), TOGETHER):
-            self._together(plain[at : at + TOGETHER])
-        self._apart([x for x in new if x not in self.stems])
-        for word, head, tail in split:
-            self.words[word] = self.stems[head] + self.stems[tail]
-        for part in new:
-            if len(part) > LONGEST_REMEMBERED:
-                del self.stems[part]
+    def _apart(self, texts: list[str]) -> Ragged:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return Ragged.of_sizes(np.array([i for ids in found for i in ids], "<u4"), sizes)
+
+    def _runs(self, texts: list[str]) -> Ragged:
+        """Runs of one kind, encoded as one text: each has one id that ends a run, its last."""
+        found = self.tokenizer.encode_batch_fast([" ".join(texts)], add_special_tokens=False)[0]
+        ids = np.array(found.ids, "<u4")
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        return Ragged(ids, np.r_[0, stops]) if len(stops) == len(texts) else self._apart(texts)
+
+    def _words(self, words: pa.Array) -> Ragged:
+        """Ids of different words."""
+        plain = pc.match_substring_regex(words, f"^[{LETTERS}]+[{SYMBOLS}]*$")
+        plain = pc.and_not(plain, pc.match_substring(words, SPECIAL))
+        simple, rest = words.filter(plain), words.filter(pc.invert(plain))
+        heads = pc.ascii_lower(pc.replace_substring_regex(simple, f"[{SYMBOLS}]+$", ""))
+        tails = pc.replace_substring_regex(simple, f"^[{LETTERS}]+", "")
+        heads, tails = heads.dictionary_encode(), tails.dictionary_encode()
+        runs = [x.dictionary.to_pylist() for x in (heads, tails)]
+        parts = [self._runs(runs[0][k : k + TOGETHER]) for k in range(0, len(runs[0]), TOGETHER)]
+        parts += [self._apart(runs[1][k : k + TOGETHER]) for k in range(0, len(runs[1]), TOGETHER)]
+        parts += [self._apart(rest.slice(k, TOGETHER).to_pylist()) for k in range(0, len(rest), TOGETHER)]
+        made = Ragged.joined(parts)
+        n, m = len(runs[0]), len(runs[0]) + len(runs[1])
+        pairs = np.empty((len(words), 2), np.int64)
+        mask = plain.to_numpy(zero_copy_only=False)
+        pairs[mask, 0] = heads.indices.to_numpy()
+        pairs[mask, 1] = n + tails.indices.to_numpy()
+        pairs[~mask, 0] = m + np.arange(len(rest))
+        pairs[~mask, 1] = made.size
+        return made.with_empty().taken(pairs.ravel()).merged(2)
+
+    def encode_all(self, texts: pa.Array) -> Ragged:
+        """Ids of each text; null counts as empty."""
+        lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        words = lists.flatten().dictionary_encode()
+        ends = lists.offsets.to_numpy().astype(np.int64)
+        return self._words(words.dictionary).taken(words.indices.to_numpy()).grouped(ends - ends[0])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        split = [
-            (t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts
-        ]
-        words = set().union(*split)
-        for known in (self.words, self.stems):
-            if len(known) + len(words) > REMEMBERED:
-                known.clear()
-                known[""] = b""
-        new = words - self.words.keys()
-        self._learn(new)
-        made = [b"".join(map(self.words.__getitem__, words)) for words in split]
-        for word in new:
-            if len(word) > LONGEST_REMEMBERED:
-                del self.words[word]
+        made = self.encode_all(pa.array(texts, pa.string()))
+        return [made.ids[a:b].tobytes() for a, b in zip(made.ends, made.ends[1:])]
+
+
+class Ragged:
+    """Rows of ids one after another; row k is ``ids[ends[k] : ends[k + 1]]``."""
+
+    def __init__(self, ids: np.ndarray, ends: np.ndarray):
+        self.ids, self.ends = ids, ends
+
+    @staticmethod
+    def of_sizes(ids: np.ndarray, sizes: np.ndarray) -> Ragged:
+        return Ragged(ids, np.r_[0, np.cumsum(sizes, dtype=np.int64)])
+
+    @staticmethod
+    def joined(parts: list[Ragged]) -> Ragged:
+        sizes = [np.diff(p.ends) for p in parts] or [np.zeros(0, np.int64)]
+        return Ragged.of_sizes(np.concatenate([p.ids for p in parts] or [np.zeros(0, "<u4")]), np.concatenate(sizes))
+
+    @property
+    def size(self) -> int:
+        return len(self.ends) - 1
+
+    def with_empty(self) -> Ragged:
+        return Ragged(self.ids, np.r_[self.ends, self.ends[-1]])
+
+    def taken(self, rows: np.ndarray) -> Ragged:
+        """These rows, in their order, any number of times."""
+        first, sizes = self.ends[rows], self.ends[rows + 1] - self.ends[rows]
+        made = Ragged.of_sizes(np.zeros(0, "<u4"), sizes)
+        at = np.repeat(first - made.ends[:-1], sizes)
+        at += np.arange(len(at))
+        made.ids = self.ids[at]
         return made
 
+    def merged(self, n: int) -> Ragged:
+        """Every ``n`` rows as one."""
+        return Ragged(self.ids, self.ends[::n])
 
-def stem(word: str) -> tuple[str, str]:
-    """The word without the ASCII symbols at its end, if it can be told apart; and these."""
-    if word.isalpha():
-        return (word.lower() if word.isascii() else word), ""
-    head = word.rstrip(SYMBOLS)
-    if not head or len(head) == len(word) or "<|" in word:
-        return (word.lower() if word.isascii() and "<|" not in word else word), ""
-    last = head[-1]
-    if not last.isalnum() or last >= "\u0250" or len(last.lower()) != 1:
-        return word, ""
-    return (head.lower() if head.isascii() else head), word[len(head) :]
+    def grouped(self, ends: np.ndarray) -> Ragged:
+        """Rows ``ends[k]`` to ``ends[k + 1]`` as one."""
+        return Ragged(self.ids, self.ends[ends])
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -149,18 +175,21 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     end = np.array([END_ID], "<u4").tobytes()
 
     def run(batches):
-        encode = encoder(path).encode
+        encode = encoder(path).encode_all
         task = TaskContext.get().partitionId()
         made = np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            for part, _ in text_pieces(batch, 1, 2 << 20):
+            for part, _ in text_pieces(batch, 1, CHUNK_BYTES):
                 rows = []
-                for doc, ids in zip(part.column(0).to_pylist(), encode(part.column(1).to_pylist())):
-                    ids += end
-                    n = len(ids) // 4
+                found = encode(part.column(1))
+                data, ends = memoryview(found.ids).cast("B"), (4 * found.ends).tolist()
+                for doc, a, b in zip(part.column(0).to_pylist(), ends, ends[1:]):
+                    n = (b - a) // 4 + 1
                     for k, start in enumerate(range(0, n, capacity)):
                         length = min(capacity, n - start)
-                        crc = zlib.crc32(memoryview(ids)[4 * start : 4 * (start + length)])
+                        crc = zlib.crc32(data[a + 4 * start : min(b, a + 4 * (start + length))])
+                        if start + length == n:
+                            crc = zlib.crc32(end, crc)
                         rows.append((doc, k, start, length, crc, task, int(made[length])))
                         made[length] += 1
                 cols = list(zip(*rows))
