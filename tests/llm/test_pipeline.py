@@ -1,5 +1,7 @@
 """Each stage against a plain statement of it over the same input."""
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as C
 from webtrail.llm import decontaminate as D
 from webtrail.llm import packing as P
@@ -75,3 +77,30 @@ def test_rows_without_an_id_of_their_own(spark, sf_dir, monkeypatch):
         got = C.decontamination(spark, documents(spark, rows), sf_dir)
         assert got.columns == ["doc_id", "text", "lang", "source", "n_chars"]
         assert sorted(rows_of(got), key=str) == sorted(want, key=str)
+
+
+def test_names_of_other_columns(spark, sf_dir):
+    """Columns that are named like something a stage makes come through with their own values."""
+    names = ["my col", "a:b", "x`y", "kept", "n_removed", "n_bytes", "rejected", "p_toxic", "_row", "best", "rest"]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = docs.withColumns({n: F.concat(F.lit(f"{n} "), F.col("doc_id").cast("string")) for n in names})
+    before = docs
+    for name, stage in C.STAGES[:-1]:
+        made = C.written(stage(spark, before, sf_dir), name)
+        assert made.columns == docs.columns
+        rows = made.collect()
+        assert rows and all(r[n] == f"{n} {r.doc_id}" for r in rows for n in names)
+        before = made
+    assert C.packing(spark, before, sf_dir).count() >= before.count()
+
+
+def test_null_empty_and_very_long_texts(spark, sf_dir):
+    long = " ".join(f"word{k}" for k in range(60_000))
+    docs = documents(spark, [(1, None), (2, ""), (3, long), (None, long + " and"), (5, None)])
+    before = docs
+    for name, stage in C.STAGES[:-1]:
+        before = C.written(stage(spark, before, sf_dir), name)
+    # empty texts are near duplicates of one another, and so are the two long ones
+    assert sorted(r.doc_id or 0 for r in before.collect()) == [0, 1]
+    last = C.packing(spark, before, sf_dir)
+    assert last.count() > 60

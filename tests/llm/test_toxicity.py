@@ -73,13 +73,77 @@ def test_scorer_agrees_with_the_fitted_features():
     y = np.array([(1 - q, t) for _, q, t in labels])
     chain = T.fit_chain(found, y, np.arange(len(docs)) // 5 % 5, ("junk", "toxic"))
     rows = np.repeat(np.arange(len(found)), [len(f) for f in found])
-    odds = np.zeros((len(found), 0))
+    p = np.zeros((len(found), 0))
     for link in chain.links:
-        new = link.odds(T._present(link, rows, np.concatenate(found), len(found)), odds)
-        odds = np.c_[odds, new]
+        new = link.odds(T._present(link, rows, np.concatenate(found), len(found)), p)
+        p = np.c_[p, T._sigmoid(new)]
     scorer = T.Scorer(chain)
-    assert np.allclose([scorer.probabilities(t) for _, t in docs], T._sigmoid(odds))
-    assert ((T._sigmoid(odds[:, 1]) >= chain.threshold) == y[:, 1]).all()
+    assert np.allclose([scorer.probabilities(t) for _, t in docs], p)
+    assert ((p[:, 1] >= chain.threshold) == y[:, 1]).all()
+
+
+def plain_link(found, y, before):
+    """The same fit in plain loops: which features lean, then steps down the slope."""
+    n, share = len(found), sum(y) / len(y)
+    seen, with_y = {}, {}
+    for f, label in zip(found, y):
+        for x in f:
+            seen[x] = seen.get(x, 0) + 1
+            with_y[x] = with_y.get(x, 0) + label
+    lean = lambda x: abs(with_y[x] - seen[x] * share) / (seen[x] * share * (1 - share)) ** 0.5
+    kept = sorted(x for x in seen if seen[x] >= T.LEAST_ROWS and lean(x) >= T.LEAST_LEANING)
+    d = len(before[0])
+    theta, pace = [0.0] * (len(kept) + d + 1), [1e-8] * (len(kept) + d + 1)
+    at = {x: k for k, x in enumerate(kept)}
+    inputs = [
+        [(at[x], 1.0) for x in f if x in at] + [(len(kept) + j, b) for j, b in enumerate(row)] + [(len(theta) - 1, 1.0)]
+        for f, row in zip(found, before)
+    ]
+    for _ in range(T.STEPS):
+        slope = [T.RIDGE * t for t in theta[:-1]] + [0.0]
+        for given, label in zip(inputs, y):
+            miss = 1 / (1 + np.exp(-sum(theta[k] * x for k, x in given))) - label
+            for k, x in given:
+                slope[k] += miss * x
+        pace = [p + s * s for p, s in zip(pace, slope)]
+        theta = [t - 0.5 * s / p**0.5 for t, s, p in zip(theta, slope, pace)]
+    assert n == len(inputs)
+    return kept, theta[: len(kept)], theta[len(kept) : -1], theta[-1]
+
+
+def test_chain_against_plain_loops():
+    """Out-of-fold probabilities of the first category go into the second one's fit."""
+    docs, labels = made(120)
+    found = [T.features(t).tolist() for _, t in docs]
+    y = np.array([(1 - q, t) for _, q, t in labels])
+    fold = np.arange(len(docs)) // 4 % 3
+    chain = T.fit_chain([np.array(f, np.int32) for f in found], y, fold, ("junk", "toxic"))
+    before = [[0.0] for _ in docs]
+    for f in range(3):
+        inside = [k for k in range(len(docs)) if fold[k] != f]
+        kept, weights, _, bias = plain_link([found[k] for k in inside], y[inside, 0], [[] for _ in inside])
+        weight = dict(zip(kept, weights))
+        for k in np.flatnonzero(fold == f):
+            before[k] = [1 / (1 + np.exp(-sum(weight.get(x, 0) for x in found[k]) - bias))]
+    for link, column, given in zip(chain.links, (0, 1), ([[] for _ in docs], before)):
+        kept, weights, earlier, bias = plain_link(found, y[:, column], given)
+        assert link.kept.tolist() == kept
+        assert np.allclose(link.weights, weights) and np.allclose(link.earlier, earlier) and np.isclose(link.bias, bias)
+
+
+def test_equal_texts_share_a_fold(spark):
+    """Copies of a text say nothing about a held-out one."""
+    assert T.features("One two, three").tobytes() == T.features("three two, One").tobytes()
+
+
+def test_names_of_other_columns(spark):
+    docs, labels = made()
+    chain = T.train(documents(spark, docs), spark.createDataFrame(labels, LABELS), T.categories_of_labels())
+    odd = documents(spark, docs).withColumns({"my col": F.lit(1), "a:b": F.lit(2), "x`y": F.lit(3), "rejected": F.lit("mine")})
+    assert T.score(odd, chain).columns[5:8] == ["my col", "a:b", "x`y"]
+    kept = T.without_rejected(odd, chain)
+    assert kept.columns == odd.columns and {r.rejected for r in kept.collect()} == {"mine"}
+    assert kept.count() == sum(not t for *_, t in labels)
 
 
 def test_labels_of_one_class_or_none(spark):

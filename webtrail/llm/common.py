@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Bytes of a batch of rows on its way to Python, unless the session says otherwise. Results are
+#: lazy, so this stays set: a task holds a batch several times, in the JVM and in Python.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
 #: Takes the place of a null id: before every real one.
 NO_ID = -(2**63)
 
@@ -24,11 +27,16 @@ def work_folder(spark: SparkSession) -> str:
     if not named:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        named = tempfile.mkdtemp(prefix="llm-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="llm-"))
+        named = spark.sparkContext.getCheckpointDir()
     return named.rstrip("/")
 
 
+def small_batches(spark: SparkSession) -> None:
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 @contextmanager
 def shuffles_removed(spark: SparkSession) -> Iterator[None]:
     """Inside, a job's shuffle files go when its result is written, not at some later collection."""
@@ -51,6 +59,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{work_folder(spark)}/{name}-{uuid4().hex}"
+    small_batches(spark)
     with shuffles_removed(spark):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

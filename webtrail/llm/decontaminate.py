@@ -24,6 +24,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from .common import text_pieces
 
@@ -142,9 +143,8 @@ def matches(docs: DataFrame, items: DataFrame, rate: float = EDIT_RATE) -> DataF
 
 def without(docs: DataFrame, items: DataFrame, rate: float = EDIT_RATE) -> DataFrame:
     """The rows of ``docs`` that hold no item; each row is searched and kept or dropped by itself."""
-    at = docs.columns.index("text")
     for rows in _blocks(items):
-        docs = _rest_of_block(docs, at, rows, rate) if rows else docs
+        docs = _rest_of_block(docs, rows, rate) if rows else docs
     return docs
 
 
@@ -159,16 +159,16 @@ def _blocks(items: DataFrame) -> Iterator[list[tuple]]:
         yield sorted(rows, key=str)
 
 
-def _rest_of_block(docs: DataFrame, at: int, rows: list[tuple], rate: float) -> DataFrame:
+def _rest_of_block(docs: DataFrame, rows: list[tuple], rate: float) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(rows)
 
-    def run(batches):
+    @F.arrow_udf(BooleanType())
+    def clean(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         matcher = Matcher(shared.value, rate)
-        for batch in batches:
-            for part, _ in text_pieces(batch, at, 4 << 20):
-                yield part.filter(pa.array([not matcher.search(plain(t)) for t in part.column(at).to_pylist()]))
+        for batch in texts:
+            yield pa.array([not matcher.search(plain(t.as_py())) for t in batch], pa.bool_())
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.filter(clean(docs["text"]))
 
 
 def _of_block(docs: DataFrame, rows: list[tuple], rate: float) -> DataFrame:

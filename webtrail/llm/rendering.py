@@ -25,13 +25,13 @@ columns pass through.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from .common import text_pieces
+from pyspark.sql.types import StringType
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -471,19 +471,16 @@ def render(page: str | None) -> str:
     return layout(Builder().feed(page)) if page else ""
 
 
+@F.arrow_udf(StringType())
+def text_of(pages: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for batch in pages:
+        yield pa.array([render(p.as_py()) for p in batch], pa.string())
+
+
 def rendered(pages: DataFrame) -> DataFrame:
-    """``pages`` with ``text``, the layout of ``html``, which is dropped."""
-    rest = [c for c in pages.columns if c not in ("html", "text")]
-    kind = pages.select(F.struct(*rest).alias("rest")).schema["rest"].dataType.simpleString()
-
-    def run(batches):
-        for batch in batches:
-            for part, _ in text_pieces(batch, 1, 4 << 20):
-                made = pa.array([render(p) for p in part.column(1).to_pylist()], pa.string())
-                yield pa.RecordBatch.from_arrays([part.column(0), made], ["rest", "text"])
-
-    made = pages.select(F.struct(*rest).alias("rest"), "html").mapInArrow(run, f"rest {kind}, text string")
-    return made.select(*(F.col("rest").getField(c).alias(c) for c in rest), "text")
+    """``pages`` with ``text``, the layout of ``html``, which is dropped; other columns stay as they are."""
+    html = pages["html"]
+    return pages.drop("text").withColumn("text", text_of(html)).drop("html")
 
 
 def op1_rendering(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Toxicity by a chain of classifiers.
 
 Categories are predicted one after another. Each is a logistic model over hashed features of
-the text and over the log odds of all categories before it. While training, those are
+the text and over the probabilities of all categories before it. While training, those are
 out-of-fold: a row's earlier category is predicted by models that have not seen the row, so
 the later model learns how far it can trust them.
 
@@ -25,12 +25,14 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
 from .common import text_pieces, written
 
@@ -44,6 +46,8 @@ RIDGE = 0.2
 NEARLY = 0.005
 #: Letters at the head of a word that are features of their own.
 HEADS = (4, 5, 6, 7)
+#: Name of a column that is there for one step only.
+VERDICT = "verdict of the chain"
 #: Words whose features a worker remembers.
 REMEMBERED = 300_000
 LETTERS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
@@ -73,12 +77,12 @@ def features(text: str | None) -> np.ndarray:
     words = set(TOKEN.findall((text or "").lower()))
     found = {f for w in words for f in word_features(w)}
     found.add(capitals(text or ""))
-    return np.fromiter(found, np.int32, len(found))
+    return np.sort(np.fromiter(found, np.int32, len(found)))
 
 
 @dataclass
 class Link:
-    """One category's model: weights of kept features, of earlier log odds, and a bias."""
+    """One category's model: weights of kept features, of earlier probabilities, and a bias."""
 
     kept: np.ndarray
     weights: np.ndarray
@@ -86,7 +90,7 @@ class Link:
     bias: float
 
     def odds(self, present: np.ndarray, before: np.ndarray) -> np.ndarray:
-        """Log odds from the sum of present weights and the earlier log odds."""
+        """Log odds from the sum of present weights and the earlier probabilities."""
         return present + before @ self.earlier + self.bias
 
 
@@ -110,7 +114,7 @@ def _sigmoid(x):
 
 
 def fit_link(rows, index, names, n, y, before) -> Link:
-    """Ridge logistic regression over kept present features and earlier log odds.
+    """Ridge logistic regression over kept present features and earlier probabilities.
 
     ``rows, index`` are the present features: their text, and their place in ``names``.
     """
@@ -126,16 +130,15 @@ def fit_link(rows, index, names, n, y, before) -> Link:
     r, c = rows[inside], number[index[inside]]
     m, d = int(keep.sum()), before.shape[1]
     theta = np.zeros(m + d + 1)
-    scaled = before / 10
     pace = np.full(len(theta), 1e-8)
     for _ in range(STEPS):
-        odds = np.bincount(r, weights=theta[c], minlength=n) + scaled @ theta[m : m + d] + theta[-1]
+        odds = np.bincount(r, weights=theta[c], minlength=n) + before @ theta[m : m + d] + theta[-1]
         miss = _sigmoid(odds) - y
-        slope = np.concatenate([np.bincount(c, weights=miss[r], minlength=m), scaled.T @ miss, [miss.sum()]])
+        slope = np.concatenate([np.bincount(c, weights=miss[r], minlength=m), before.T @ miss, [miss.sum()]])
         slope[:-1] += RIDGE * theta[:-1]
         pace += slope * slope
         theta -= 0.5 * slope / np.sqrt(pace)
-    return Link(names[keep].astype(np.int32), theta[:m], theta[m : m + d] / 10, float(theta[-1]))
+    return Link(names[keep].astype(np.int32), theta[:m], theta[m : m + d], float(theta[-1]))
 
 
 def _present(link: Link, rows, cols, n) -> np.ndarray:
@@ -167,7 +170,7 @@ def fit_chain(found: list[np.ndarray], labels: np.ndarray, fold: np.ndarray, cat
             present = _present(link, place[rows[held]], names[index[held]], int(out.sum()))
             odds[out] = link.odds(present, before[out])
         chain.links.append(fit_link(rows, index, names, n, y, before))
-        before = np.c_[before, odds]
+        before = np.c_[before, _sigmoid(odds)]
     chain.threshold = best_threshold(_sigmoid(odds), labels[:, -1] if n else np.zeros(0))
     return chain
 
@@ -225,7 +228,8 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], mos
             y.append(np.column_stack([c.to_numpy() for c in batch.columns[2:]]))
         order = np.argsort(np.array(ids, np.int64), kind="stable")
         y = np.concatenate(y)[order] if y else np.zeros((0, len(kinds)))
-        fold = np.array([zlib.crc32(str(ids[i]).encode()) % FOLDS for i in order], np.int64)
+        # equal texts share a fold, or a copy would be predicted by a model that has seen it
+        fold = np.array([zlib.crc32(found[i].tobytes()) % FOLDS for i in order], np.int64)
         chain = fit_chain([found[i] for i in order], y, fold, kinds)
         rows = [(k, int(f), float(w)) for k, x in enumerate(chain.links) for f, w in zip(x.kept, x.weights)]
         rows += [(k, -1 - j, float(w)) for k, x in enumerate(chain.links) for j, w in enumerate(x.earlier)]
@@ -279,33 +283,43 @@ class Scorer:
         for f in sorted(found):
             if f in self.table:
                 present += self.table[f]
-        odds: list[float] = []
+        made: list[float] = []
         for k, link in enumerate(self.chain.links):
-            odds.append(float(present[k] + np.dot(odds, link.earlier) + link.bias))
-        return [float(_sigmoid(x)) for x in odds]
+            made.append(float(_sigmoid(present[k] + np.dot(made, link.earlier) + link.bias)))
+        return made
 
 
-def score(docs: DataFrame, chain: Chain) -> DataFrame:
-    """``docs`` with ``p_<category>`` for each category and ``rejected``."""
-    shared = docs.sparkSession.sparkContext.broadcast(chain)
-    kind = docs.select(F.struct("*").alias("rest")).schema["rest"].dataType.simpleString()
-    names = [f"p_{c}" for c in chain.categories]
+def verdict(text: Column, chain: Chain) -> Column:
+    """A struct of the probability ``p_<category>`` of each category, and ``rejected``.
+
+    Only the text goes to Python; the rest of a row waits for it on the JVM's side.
+    """
+    shared = SparkSession.getActiveSession().sparkContext.broadcast(chain)
+    shape = StructType([StructField(f"p_{c}", DoubleType()) for c in chain.categories])
+    shape = shape.add("rejected", BooleanType())
 
-    def run(batches):
+    @F.arrow_udf(shape)
+    def judge(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = Scorer(shared.value)
-        last = shared.value.threshold
-        for part in _numbered(batches):
-            p = [scorer.probabilities(t) for t in part.column(1).to_pylist()]
-            cols = list(zip(*p))
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), *(pa.array(c, pa.float64()) for c in cols), pa.array([x[-1] >= last for x in p])],
-                ["rest", *names, "rejected"],
-            )
+        for batch in texts:
+            p = [scorer.probabilities(t.as_py()) for t in batch]
+            cols = [pa.array(c, pa.float64()) for c in zip(*p)] or [pa.array([], pa.float64())] * (len(shape) - 1)
+            cols.append(pa.array([x[-1] >= scorer.chain.threshold for x in p], pa.bool_()))
+            yield pa.StructArray.from_arrays(cols, shape.names)
+
+    return judge(text)
+
+
+def score(docs: DataFrame, chain: Chain) -> DataFrame:
+    """``docs`` with ``p_<category>`` for each category and ``rejected``, in place of columns of these names."""
+    names = [*(f"p_{c}" for c in chain.categories), "rejected"]
+    made = docs.withColumn(VERDICT, verdict(docs["text"], chain)).drop(*names)
+    return made.withColumns({n: F.col(VERDICT)[n] for n in names}).drop(VERDICT)
+
 
-    shape = f"rest {kind}, " + ", ".join(f"{n} double" for n in names) + ", rejected boolean"
-    made = docs.select(F.struct("*").alias("rest"), F.col("text")).mapInArrow(run, shape)
-    clash = {*names, "rejected"}
-    return made.select(*(f"rest.`{c}`" for c in docs.columns if c not in clash), *names, "rejected")
+def without_rejected(docs: DataFrame, chain: Chain) -> DataFrame:
+    """The rows of ``docs`` whose text is not rejected, as they are."""
+    return docs.filter(~verdict(docs["text"], chain)["rejected"])
 
 
 def categories_of_labels() -> dict[str, Column]:
