@@ -16,17 +16,17 @@ from webtrail.llm.decontaminate import without
 from webtrail.llm.packing import pack
 from webtrail.llm.simhash import near_duplicates
 from webtrail.llm.suffixes import remove_repeats
-from webtrail.llm.toxicity import categories_of_labels, score, train
+from webtrail.llm.toxicity import categories_of_labels, train, without_rejected
 
 ORACLE_SQL = None
-#: The number of a row in the SimHash stage.
-ROW = "_row"
+#: The number of a row in the SimHash stage; no column of the documents has this name.
+ROW = "number of the row"
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain does not reject."""
     chain = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), categories_of_labels())
-    return score(docs, chain).filter("not rejected").select(*docs.columns)
+    return without_rejected(docs, chain)
 
 
 def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,14 +36,16 @@ def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = near_duplicates(rows.select(F.col(ROW).alias("doc_id"), "text"))
     groups = found.select(F.col("doc_id").alias(ROW), "component_id").join(rows.select(ROW, "doc_id"), ROW)
     first = groups.groupBy("component_id").agg(F.min(F.struct("doc_id", ROW)).alias("least"))
-    return rows.join(first.select(f"least.{ROW}"), ROW, "left_semi").select(*docs.columns)
+    return rows.join(first.select(F.col("least")[ROW].alias(ROW)), ROW, "left_semi").drop(ROW)
 
 
 def suffix_array(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that earlier ones have; ``n_chars`` follows the text."""
-    rest = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
-    kept = remove_repeats(docs, carry=rest).withColumn("text", F.col("kept"))
-    return kept.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    own = {"doc_id", "text", "n_chars"}
+    rest = {c: f"other column {k}" for k, c in enumerate(docs.columns) if c not in own}
+    kept = remove_repeats(docs.withColumnsRenamed(rest), carry=list(rest.values()))
+    made = {"doc_id": F.col("doc_id"), "text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
+    return kept.select(*(made[c] if c in own else F.col(rest[c]) for c in docs.columns)).toDF(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
