@@ -1,4 +1,6 @@
-import datetime as dt
+import os
+import random
+import re
 import tempfile
 
 import plain
@@ -7,8 +9,10 @@ from pyspark.sql import functions as F
 from webtrail.operators import queue as Q
 from webtrail.plans import fixtures as X
 from webtrail.plans.process import replay
+from webtrail.session import cut_lineage
+from webtrail.sources.queue_store import QueueStore
 from webtrail.streaming import ingest as SI
-from test_queue import at, make_queue, upsert_one
+from test_queue import at, by_id, make_queue, upsert_one
 
 
 def crawl_one_at_a_time(seeds, pages, rounds, batch, threshold=0.28, max_depth=2):
@@ -89,3 +93,79 @@ def test_repeated_batch_changes_nothing(spark, sf_dir):
     pages.filter("page_id >= 20").write.parquet(f"{folder}/in/b")
     SI.update_queue(stream, folder, f"{folder}/c2", at(), 1 << 50).awaitTermination()
     assert SI.newest_snapshot(spark, folder, 2).count() > len(first)
+
+
+def test_store_touches_only_what_changes(spark):
+    """A step reads the buckets of its URLs, writes its rows, and leaves the other files alone."""
+    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    rows = [dict(id=i, url=f"u{i}", priority=i % 9) for i in range(400)]
+    store = QueueStore.create(make_queue(spark, rows), f"{folder}/store", buckets=16)
+    assert store.version(0).next_id == 400 and store.read(0).count() == 400
+    urls = spark.createDataFrame([("u5",), ("u77",), ("new",)], "url string")
+    touched = store.touching(0, urls)
+    assert sorted(r.url for r in touched.collect()) == ["u5", "u77"]
+    plan = touched._jdf.queryExecution().executedPlan().toString()
+    pruned = re.search(r"PartitionFilters: \[bucket#\d+ IN \(([\d,]+)\)\]", plan)
+    assert pruned and len(pruned[1].split(",")) <= 3
+    changed = touched.withColumn("status", F.lit("done")).union(make_queue(spark, [dict(id=400, url="new")]))
+    assert store.commit(0, changed, 401) == 1
+    version = store.version(1)
+    assert {f for f, _ in version.deltas} == {"delta-00000001"} and sum(version.deltas.values()) == 3
+    assert version.base == store.version(0).base and version.next_id == 401
+    got = by_id(store.read(1))
+    assert len(got) == 401 and {i for i, r in got.items() if r.status == "done"} == {5, 77}
+    # the same step again gives the same version
+    store.commit(0, changed, 401)
+    assert by_id(store.read(1)) == got and store.version(1) == version
+
+
+def test_store_rewrites_outgrown_buckets_and_drops_old_folders(spark):
+    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    rows = [dict(id=i, url=f"u{i}") for i in range(120)]
+    store = QueueStore.create(make_queue(spark, rows), f"{folder}/store", buckets=8)
+    want = {r["url"]: 0 for r in rows}
+    rnd = random.Random(4)
+    number = 0
+    for step in range(1, 7):
+        urls = rnd.sample(sorted(want), 12) + [f"n{step}-{k}" for k in range(5)]
+        want |= {u: step for u in urls}
+        changed = make_queue(spark, [dict(id=1000 * step + k, url=u, priority=step) for k, u in enumerate(urls)])
+        number = store.commit(number, changed, 0)
+        assert {r.url: r.priority for r in store.read(number).collect()} == want
+    version = store.version(number)
+    assert number == store.newest() == 6 and len({f for f, _ in version.base}) > 1
+    # deltas never pile up beyond their share of the base
+    for b in range(8):
+        size = lambda parts: sum(n for (_, k), n in parts.items() if k == b)
+        assert size(version.deltas) <= 0.25 * size(version.base)
+    there = set(os.listdir(f"{folder}/store"))
+    needed = version.folders() | store.version(5).folders() | {"version-00000005", "version-00000006"}
+    assert there == needed
+
+
+def test_three_batches_equal_whole_queue_merges(spark, sf_dir):
+    """Batches with common URLs, keys near 2**62: as if each batch was merged into the whole queue."""
+    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    small = sf_dir.replace("sf0.01", "sf0.001")
+    pages = X.derive(spark, small, X.LINKED_PAGES)
+    pages = pages.withColumn("page_id", F.col("page_id") + F.lit((1 << 62) - 7))
+    start = X.derive(spark, small, X.QUEUE).filter("id % 3 <> 0")
+    start.write.parquet(SI.snapshot_path(folder, 0))
+    want, next_id = start, start.agg(F.max("id")).first()[0] + 1
+    for n in range(3):
+        part = pages.filter(F.col("page_id") % 3 == n)
+        part.write.parquet(f"{folder}/in/{n}")
+        SI.update_queue(
+            SI.page_stream(spark, f"{folder}/in/*"), folder, f"{folder}/c", at(), 0
+        ).awaitTermination()
+        found = SI.batch_discoveries(part, want)
+        want = Q.number_arrivals(Q.upsert_discovered(want, found, at(), None), next_id).select(*Q.QUEUE_COLUMNS)
+        want = cut_lineage(want)
+        next_id = want.agg(F.max("id")).first()[0] + 1
+    got = SI.newest_snapshot(spark, folder, 3)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    ids = [r.id for r in got.collect()]
+    assert len(set(ids)) == len(ids) and max(ids) < 100_000
+    parents = {r.parent_url_id for r in got.collect()} - {None}
+    assert parents and max(parents) < 100_000
+    assert got.filter("depth = 2 and source like 'frontier:%'").count() > 0

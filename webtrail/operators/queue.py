@@ -271,7 +271,7 @@ def fold_discoveries(found: DataFrame) -> DataFrame:
     """One row per discovered URL, equal to applying the arrivals one by one.
 
     ``found``: url, priority, geo_score, source, depth, parent_url_id and ``ord``,
-    the unique arrival order. Every part is a plain aggregate, so a URL that half
+    the unique arrival order (a number, or a struct of them). Every part is a plain aggregate, so a URL that half
     the web links to is combined before the shuffle.
     """
     return found.groupBy("url").agg(
@@ -292,7 +292,7 @@ def upsert_discovered(
     queue: DataFrame,
     found: DataFrame,
     at: Column,
-    first_id: int,
+    first_id: int | None,
     settled: str | None = None,
     revisit: bool = True,
 ) -> DataFrame:
@@ -300,7 +300,8 @@ def upsert_discovered(
 
     Known URLs keep the better priority and score, the smaller depth and their
     first parent; a finished one is opened again. New URLs are appended with id
-    ``first_id + ord``, which keeps arrival order without numbering all rows.
+    ``first_id + ord``, which keeps arrival order without numbering all rows. Without
+    ``first_id`` they have no id yet but their ``arrival`` (see :func:`number_arrivals`).
     ``settled`` names a queue column with the arrival order at which a URL of the
     current batch was finished: only later arrivals open it again.
     """
@@ -316,7 +317,6 @@ def upsert_discovered(
         (F.coalesce("source", F.lit("")) == "seed") | F.col("f_seed"), F.lit("seed")
     ).otherwise(F.col("f_source"))
     changes = {
-        "id": F.coalesce("id", (F.lit(first_id) + F.col("first_ord")).cast("bigint")),
         "status": F.when(~known | reopened, F.lit("pending")).otherwise(F.col("status")),
         "priority": F.greatest("priority", "f_priority"),
         "geo_score": F.greatest("geo_score", "f_geo"),
@@ -330,7 +330,31 @@ def upsert_discovered(
         "created_at": F.coalesce("created_at", at),
         "updated_at": F.when(found_now, at).otherwise(F.col("updated_at")),
     }
-    return queue.join(fold_discoveries(found), "url", "full_outer").select(*_updated(changes))
+    if first_id is not None:
+        changes["id"] = F.coalesce("id", (F.lit(first_id) + F.col("first_ord")).cast("bigint"))
+    columns = _updated(changes)
+    if first_id is None:
+        columns.append(F.when(~known, F.col("first_ord")).alias("arrival"))
+    return queue.join(fold_discoveries(found), "url", "full_outer").select(*columns)
+
+
+def number_arrivals(rows: DataFrame, next_id: int) -> DataFrame:
+    """Ids for the rows that have none: ``next_id`` and on, without gaps, in order of ``arrival``.
+
+    Rows are sorted in ranges of arrivals; a row's number is its place in its range after
+    the sizes of the ranges before. Only these sizes, one for each task, are added up.
+    """
+    new = rows.filter("id IS NULL").repartitionByRange("arrival").sortWithinPartitions("arrival")
+    placed = cut_lineage(new.withColumn("place_", F.monotonically_increasing_id()))
+    # a task's rows are numbered from its own number times 2**33
+    placed = placed.withColumn("range_", F.shiftright("place_", 33))
+    earlier = Window.orderBy("range_").rowsBetween(Window.unboundedPreceding, -1)
+    before = placed.groupBy("range_").agg(F.count(F.lit(1)).alias("n_")).select(
+        "range_", F.coalesce(F.sum("n_").over(earlier), F.lit(0)).alias("before_")
+    )
+    inside = F.col("place_").bitwiseAND((1 << 33) - 1)
+    made = placed.join(before, "range_").withColumn("id", F.lit(next_id) + F.col("before_") + inside)
+    return rows.filter("id IS NOT NULL").unionByName(made.select(*rows.columns))
 
 
 def arrival_report(queue: DataFrame, found: DataFrame) -> DataFrame:

@@ -44,7 +44,8 @@ def at() -> Column:
 
 QUERIES: dict[str, Query] = {}
 CLAIM_BATCH, WORKERS = DEFAULTS.claim_batch, 4
-REPLAY_ROUNDS, REPLAY_BATCH = 3, 600
+# A replay claims a quarter as many URLs in each round as the queue had at first.
+REPLAY_ROUNDS, REPLAY_SHARE = 3, 4
 
 
 def query(fn: Query) -> Query:
@@ -511,7 +512,8 @@ def process_discoveries(spark, sf):
 def replay_rounds(spark, sf):
     """Three rounds over the stored corpus."""
     start = queue_of(spark, sf)
-    end = T.replay(start, linked_of(spark, sf), at(), REPLAY_ROUNDS, REPLAY_BATCH, first_id=1 << 40)
+    batch = max(1, start.count() // REPLAY_SHARE)
+    end = T.replay(start, linked_of(spark, sf), at(), REPLAY_ROUNDS, batch, first_id=1 << 40)
     return end.select(
         "url", "status", big("priority"), r6d("geo_score"), "source", big("depth"), big("retries")
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +14,8 @@ from ..operators import queue as Q
 from ..operators.links import expand, with_candidates, worth_queueing
 from ..operators.store import store_latest
 from ..params import DEFAULTS, SCHEMA_NAME, Params
-from ..session import cut_lineage
+from ..session import cut_lineage, shared_dir
+from ..sources.queue_store import QueueStore
 from .pages import analyze_links, analyze_pages
 
 # Fixed value: message of a URL that could not be fetched.
@@ -87,8 +89,14 @@ def process_pages(
     return Processed(outcomes, extractions, discoveries)
 
 
-def as_discoveries(candidates: DataFrame, params: Params = DEFAULTS) -> DataFrame:
-    """Candidates of claimed pages in the form :func:`upsert_discovered` takes."""
+def as_discoveries(
+    candidates: DataFrame, params: Params = DEFAULTS, arrival: Column | None = None
+) -> DataFrame:
+    """Candidates of claimed pages in the form :func:`upsert_discovered` takes.
+
+    They arrive in order of ``arrival``, or else of their page's claim rank and their place."""
+    if arrival is None:
+        arrival = (F.col("claim_rank") * stride(params) + F.col("ord")).cast("bigint")
     return candidates.select(
         F.col("child").alias("url"),
         "priority",
@@ -96,7 +104,7 @@ def as_discoveries(candidates: DataFrame, params: Params = DEFAULTS) -> DataFram
         F.concat(F.lit("frontier:"), F.col("reason")).alias("source"),
         (F.col("depth") + 1).alias("depth"),
         F.col("id").alias("parent_url_id"),
-        (F.col("claim_rank") * stride(params) + F.col("ord")).cast("bigint").alias("ord"),
+        arrival.alias("ord"),
     )
 
 
@@ -112,20 +120,23 @@ def corpus_edges(pages: DataFrame, key: str = "page_id", params: Params = DEFAUL
     return worth_queueing(expand(analyze_links(named, params=params), [key]), params)
 
 
-def replay_round(
-    queue: DataFrame,
+def round_changes(
+    store: QueueStore,
+    number: int,
     lookup: DataFrame,
     edges: DataFrame,
     at: Column,
-    first_id: int,
     batch: int,
     key: str = "page_id",
     params: Params = DEFAULTS,
     revisit: bool = True,
 ) -> DataFrame:
-    """Claim a batch, look its pages up, settle it, and merge what it links to."""
+    """Claim a batch, look its pages up, settle it, and merge what it links to: the rows that
+    change, and new ones. Of the queue, all open rows are looked at for the claim (their narrow
+    columns), and otherwise the buckets of the claimed and the found URLs."""
     # Both large tables are only probed: the batch, bounded by its size, is broadcast
     # to them. (A left join from the batch would shuffle the whole lookup.)
+    queue = store.read(number)
     due = cut_lineage(
         queue.select("id", "url", "depth").join(Q.bounded(Q.claim_set(queue, batch), batch), "id")
     )
@@ -136,14 +147,6 @@ def replay_round(
     claims = cut_lineage(
         due.join(Q.bounded(found_pages, batch), "canonical_", "left").drop("canonical_")
     )
-    claimed = Q.apply_claims(queue, claims.select("id", "claim_rank", "worker"), at, batch)
-    outcomes = claims.select(
-        "id",
-        F.when(F.col(key).isNull(), F.lit(NO_PAGE)).alias("failure"),
-        # a page is settled after all its own links have arrived
-        ((F.col("claim_rank") + 1) * stride(params) - 1).cast("bigint").alias("settled_ord"),
-    )
-    settled = Q.apply_outcomes(claimed, outcomes, at, extra=["settled_ord"], bound=batch)
     parents = claims.filter(F.col(key).isNotNull() & (F.col("depth") < params.max_depth))
     found = as_discoveries(
         edges.join(
@@ -151,6 +154,18 @@ def replay_round(
         ).withColumn("priority", priority(F.col("geo_score"), F.col("depth"))),
         params,
     )
+    found = cut_lineage(found)
+    urls = cut_lineage(claims.select("url").union(found.select("url")).distinct())
+    touched = store.touching(number, urls)
+    claimed = Q.apply_claims(touched, claims.select("id", "claim_rank", "worker"), at, batch)
+    outcomes = claims.select(
+        "id",
+        F.when(F.col(key).isNull(), F.lit(NO_PAGE)).alias("failure"),
+        # a page is settled after all its own links have arrived
+        ((F.col("claim_rank") + 1) * stride(params) - 1).cast("bigint").alias("settled_ord"),
+    )
+    settled = Q.apply_outcomes(claimed, outcomes, at, extra=["settled_ord"], bound=batch)
+    first_id = store.version(number).next_id
     return Q.upsert_discovered(settled, found, at, first_id, settled="settled_ord", revisit=revisit)
 
 
@@ -164,25 +179,27 @@ def replay(
     key: str = "page_id",
     params: Params = DEFAULTS,
     revisit: bool = True,
+    folder: str | None = None,
 ) -> DataFrame:
     """Crawl a stored corpus: rounds of claim, lookup, settle and merge.
 
     Links may open finished URLs again, so a cyclic web never drains by itself;
-    ``max_rounds`` always bounds the loop. The driver keeps only the loop: each
-    round's queue is written to the shared folder and read on from there.
+    ``max_rounds`` always bounds the loop. The driver keeps only the loop: a round writes
+    the rows it has changed to a :class:`QueueStore` in ``folder`` (one in the shared folder
+    unless given), whose newest version is returned.
     """
     lookup = cut_lineage(page_by_url(pages.filter("html IS NOT NULL"), key))
     edges = cut_lineage(corpus_edges(pages, key, params))
-    for number in range(max_rounds):
-        queue = cut_lineage(
-            replay_round(
-                queue, lookup, edges, at, first_id + number * (batch + 2) * stride(params), batch, key,
-                params, revisit,
-            )
-        )
-        if Q.claimable(queue).isEmpty():
+    folder = folder or f"{shared_dir(queue.sparkSession)}/replay-{uuid4().hex}"
+    store, number = QueueStore.create(queue, folder, first_id), 0
+    for _ in range(max_rounds):
+        changed = round_changes(store, number, lookup, edges, at, batch, key, params, revisit)
+        # a page's links have arrival numbers below this
+        next_id = store.version(number).next_id + (batch + 2) * stride(params)
+        number = store.commit(number, changed, next_id)
+        if Q.claimable(store.read(number)).isEmpty():
             break
-    return queue
+    return store.read(number)
 
 
 def store_extractions(stored: DataFrame, fresh: DataFrame) -> DataFrame:
