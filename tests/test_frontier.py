@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import plain
 import pytest
 from pyspark.sql import functions as F
@@ -5,6 +7,7 @@ from pyspark.sql import functions as F
 from webtrail.functions.payload import PAYLOAD_TYPE
 from webtrail.functions.signals import with_signals
 from webtrail.operators import links as L
+from webtrail.params import DEFAULTS
 from webtrail.plans.pages import analyze_pages
 
 
@@ -53,16 +56,16 @@ def test_topical_payload_scores_well(spark):
     assert row.signals.freshness_signal == 0.65
 
 
-def test_depth_limit_gives_no_candidates(spark):
-    page = _payload_row(
-        spark, title="VPS", description="", links=[("https://example.com/maps/vps", "VPS mapping")]
-    ).select(
-        "payload", F.lit("https://example.com/").alias("url"), F.lit(2).alias("depth"),
-        F.lit(0.7).alias("page_score"),
+@pytest.mark.parametrize("limit", [1, 3])
+def test_pages_at_the_depth_limit_are_not_expanded(spark, limit):
+    links = [("https://atlas.test/terrain", "Terrain grid"), ("https://atlas.test/about", "Who we are")]
+    page = _payload_row(spark, title="Atlas", main_content="Grids.", links=links).select(
+        "payload", F.lit("https://atlas.test/start").alias("url"), F.explode(F.sequence(F.lit(0), F.lit(4))).alias("depth"),
+        F.lit(0.4).alias("page_score"),
         F.array().cast("array<struct<href:string,text:string>>").alias("anchors"),
     )
-    assert L.frontier_candidates(page, ["url"]).count() == 0
-    assert L.frontier_candidates(page.withColumn("depth", F.lit(1)), ["url"]).count() == 1
+    found = L.frontier_candidates(page, ["url"], params=replace(DEFAULTS, max_depth=limit))
+    assert found.groupBy("depth").count().count() == limit and found.count() == 2 * limit
 
 
 def test_page_analysis_has_no_shuffle_and_reads_html_once(spark, sf_dir):

@@ -73,7 +73,8 @@ def metric_snapshots(outcomes: DataFrame, params: Params = DEFAULTS) -> DataFram
             "processed_count": _done().cast("bigint"),
             "failed_count": F.col("failed").cast("bigint"),
             "frontier_enqueued": F.when(_done(), F.col("frontier")).otherwise(F.lit(0)),
-            "latency_sum": F.when(_done(), _exact(F.col("latency_ms"))).otherwise(F.lit(0)),
+            "timed_count": (_done() & F.col("latency_ms").isNotNull()).cast("bigint"),
+            "latency_sum": F.coalesce(F.when(_done(), _exact(F.col("latency_ms"))), F.lit(0)),
         },
     )
     # Read four times below: snapshots, closing rows, latencies, their maximum.
@@ -86,7 +87,8 @@ def metric_snapshots(outcomes: DataFrame, params: Params = DEFAULTS) -> DataFram
         "outcome_id",
         "ts",
         *METRICS,
-        _mean(F.col("latency_sum"), F.col("processed_count")).alias("avg_latency_ms"),
+        "timed_count",
+        _mean(F.col("latency_sum"), F.col("timed_count")).alias("avg_latency_ms"),
     ]
     flushed = counted.filter(
         (F.col("processed_count") > 0) & (F.col("processed_count") % params.flush_every == 0)
@@ -101,24 +103,21 @@ def metric_snapshots(outcomes: DataFrame, params: Params = DEFAULTS) -> DataFram
         ).select(*keep, F.lit(True).alias("final"))
     )
     snapshots = flushed.unionByName(closing)
-    successes = counted.filter(_done()).select(
-        "worker", F.col("processed_count").alias("seq"), F.col("cents_").alias("code")
+    # Only successes with a latency are numbered: one without adds nothing to sort.
+    successes = counted.filter(F.col("cents_").isNotNull()).select(
+        "worker", F.col("timed_count").alias("seq"), F.col("cents_").alias("code")
     )
     top = successes.agg(F.max("code")).first()[0] or 0
-    # Many failures in a row repeat the same processed count: ask once for each.
-    asked = snapshots.filter("processed_count > 0").select(
-        "worker", F.col("processed_count").alias("m")
-    ).distinct()
-    p95 = running_quantile(successes, asked, ["worker"], top).withColumnRenamed(
-        "m", "processed_count"
-    )
+    # Many failures in a row repeat the same count: ask once for each.
+    asked = snapshots.filter("timed_count > 0").select("worker", F.col("timed_count").alias("m")).distinct()
+    p95 = running_quantile(successes, asked, ["worker"], top).withColumnRenamed("m", "timed_count")
     return (
-        match_on(snapshots, p95, ["worker", "processed_count"], "left")
+        match_on(snapshots, p95, ["worker", "timed_count"], "left")
         .withColumn(
             "p95_latency_ms",
             (F.coalesce("p95_code", F.lit(0)) / 100).cast("decimal(10,2)"),
         )
-        .drop("p95_code")
+        .drop("p95_code", "timed_count")
     )
 
 

@@ -333,13 +333,14 @@ def claim_workers(spark, sf):
 
 
 def _seeds(spark: SparkSession, sf: str) -> DataFrame:
-    """Raw page URLs as seeds, and each again with spaces around it."""
+    """Raw page URLs as seeds, each again with spaces around it, and blank ones."""
     pages = X.table(spark, sf, "pages")
+    blank = pages.select((-1 - F.col("page_id")).alias("pos"), F.lit(" \t").alias("url"))
     again = pages.select(
         (F.col("page_id") * 2 + 1).alias("pos"), F.concat(F.lit("  "), "url", F.lit("\t")).alias("url")
     )
-    blank = pages.select((F.col("page_id") * 2).alias("pos"), F.col("url"))
-    return blank.unionByName(again)
+    given = pages.select((F.col("page_id") * 2).alias("pos"), F.col("url"))
+    return given.unionByName(again).unionByName(blank)
 
 
 @query
@@ -481,12 +482,50 @@ def _batch(spark: SparkSession, sf: str) -> DataFrame:
     ).withColumn("html", F.when(F.col("status") != "failed", F.col("html")))
 
 
+def _answered(spark: SparkSession, sf: str) -> DataFrame:
+    """The same batch with failing fetches, pages that cannot be stored, and model answers."""
+    kind = F.col("id") % 16
+    number = F.col("id").cast("string")
+    links = F.when(kind == 9, F.lit('[{"href": "/next", "text": "next"}]')).otherwise(F.lit("[]"))
+    answer = F.concat(
+        F.lit('{"title": "Answer '), number, F.lit('", "main_content": "about '), number, F.lit('", "links": '), links, F.lit("}")
+    )
+    return _batch(spark, sf).withColumns(
+        {
+            "fetch_error": F.when(kind == 8, F.lit("connection reset")),
+            "html": F.when(kind == 4, F.concat("html", F.lit("\0"))).otherwise(F.col("html")),
+            "response": F.when(kind == 1, F.lit("[1, 2]"))
+            .when(kind == 5, F.lit('{"title": "a\\u0000b"}'))
+            .when(kind.isin(9, 13), answer),
+            "status_code": F.lit(200),
+            "content_type": F.lit("text/html"),
+        }
+    )
+
+
 @query
 def process_outcomes(spark, sf):
-    done = T.process_pages(_batch(spark, sf), at())
+    """Every step fails for some pages."""
+    done = T.process_pages(_answered(spark, sf), at(), response="response")
     return done.outcomes.select("id", "failure")
 
 
+@query
+def process_stored(spark, sf):
+    """Pages as they are stored; those whose analysis fails are among them."""
+    done = T.process_pages(_answered(spark, sf), at(), response="response")
+    return done.pages.select("url_id", "url", F.length("html").cast("bigint").alias("chars"), "status_code", "content_type")
+
+
+@query
+def process_answers(spark, sf):
+    """Extractions by heuristics, or from the model's answer where there is one."""
+    done = T.process_pages(_answered(spark, sf), at(), response="response")
+    return done.extractions.select(
+        "url_id", F.col("confidence").cast("double").alias("confidence"), F.col("payload.title").alias("title")
+    )
+
+
 @query
 def process_extractions(spark, sf):
     done = T.process_pages(_batch(spark, sf), at())
@@ -639,6 +678,22 @@ def extracted_table(spark, sf):
     return back.select("id", "url", "chars", "words", F.md5("text").alias("text_md5"))
 
 
+@query
+def saved_pages(spark, sf):
+    """Pages saved one to a file, read back by the paths of a log: blank, relative and whole ones."""
+    folder = fresh_folder(spark, "saved")
+    pages = X.table(spark, sf, "pages").select("page_id", "html")
+    pages.repartition(8, "page_id").write.partitionBy("page_id").text(folder)
+    saved = SF.saved_html(spark, folder)
+    number = F.regexp_extract("html_path", r"page_id=(\d+)/", 1).cast("bigint")
+    below = F.regexp_extract("html_path", r"(page_id=\d+/.*)", 1)
+    path = F.when(number % 7 == 0, F.lit("  ")).when(number % 2 == 0, below).otherwise(F.col("html_path"))
+    log = saved.select(number.alias("id"), path.alias("html_path"))
+    base = F.regexp_replace(F.lit(folder), "^[a-z]+:/*", "/")
+    found = SF.attach_html(log, saved, spark.range(1).select(base).first()[0])
+    return found.select("id", F.length("html").cast("bigint").alias("chars"), F.md5("html").alias("html_md5"))
+
+
 @query
 def summary_table(spark, sf):
     """Twelve-column run summary, written as TSV and read back."""
@@ -650,7 +705,8 @@ def summary_table(spark, sf):
     SF.write_summary(totals.withColumnsRenamed({"run": "name", "total_urls": "total"}), folder)
     back = SF.read_summary(spark, folder)
     return back.select(
-        "name", "fetched", "total", r6("avg_ms"), "p95_ms", r6("pages_per_sec"), "total_bytes",
+        "name", "fetched", "total", r6("avg_ms"), "p95_ms", r6("pages_per_sec"), r6("pages_per_min"),
+        r6("pages_per_day"), F.round("mb_per_sec", 9).alias("mb_per_sec"), "total_bytes",
         "extracted_docs", "total_chars",
     )
 

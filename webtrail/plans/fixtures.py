@@ -117,7 +117,7 @@ SELECT concat('worker-', CAST(user_id % 8 AS STRING)) AS worker,
        CAST(ts AS TIMESTAMP) AS ts,
        event_id AS outcome_id,
        event_type = 'error' AS failed,
-       value AS latency_ms,
+       CASE WHEN event_id % 17 = 0 THEN NULL ELSE value END AS latency_ms,
        event_id % 5 AS frontier
 FROM {events}
 """

@@ -479,7 +479,9 @@ ORACLES["claim_batch"] = on_queue(
 )
 SEEDS = f"""SELECT pos, {strip('url')} AS url FROM (
   SELECT page_id * 2 AS pos, url FROM pages
-  UNION ALL SELECT page_id * 2 + 1 AS pos, concat('  ', url, chr(9)) AS url FROM pages)"""
+  UNION ALL SELECT page_id * 2 + 1 AS pos, concat('  ', url, chr(9)) AS url FROM pages
+  UNION ALL SELECT -1 - page_id AS pos, concat(' ', chr(9)) AS url FROM pages)
+  WHERE {strip('url')} <> ''"""
 SEED_FIRST = """SELECT url, min(pos) AS pos FROM seeds WHERE url NOT IN (SELECT url FROM queue) GROUP BY url"""
 ORACLES["seed_report"] = on_queue(
     "SELECT seeds.pos, seeds.url, firsts.pos IS NOT NULL AS inserted FROM seeds "
@@ -587,7 +589,17 @@ LEFT JOIN known ON known.canonical_url = c"""
 # --- processing -------------------------------------------------------------------
 
 ORACLES["process_outcomes"] = """
-SELECT page_id AS id, CASE WHEN page_id % 4 = 3 THEN 'fetch failed or timeout' END AS failure FROM pages"""
+SELECT page_id AS id, CASE
+  WHEN page_id % 4 = 3 THEN 'fetch failed or timeout'
+  WHEN page_id % 16 = 8 THEN 'connection reset'
+  WHEN page_id % 16 = 4 THEN 'insert raw_page failed: text holds a character 0'
+  WHEN page_id % 16 = 1 THEN 'dom analysis failed: ''list'' object has no attribute ''get'''
+  WHEN page_id % 16 = 5 THEN 'insert extraction failed: payload holds a character 0' END AS failure
+FROM pages"""
+ORACLES["process_stored"] = f"""
+SELECT page_id AS url_id, regexp_replace(url, '#.*$', '') AS url, length(html) AS chars, 200 AS status_code,
+       'text/html' AS content_type
+FROM ({LINKED}) WHERE page_id % 4 <> 3 AND page_id % 16 NOT IN (4, 8)"""
 # The batch runs under the queued URL, which has no fragment.
 _QUEUED = f"SELECT page_id, regexp_replace(url, '#.*$', '') AS url, html FROM ({LINKED}) WHERE page_id % 4 <> 3"
 _QUEUED_SIGNALS = signals(_QUEUED)
@@ -595,6 +607,15 @@ ORACLES["process_extractions"] = with_(*_QUEUED_SIGNALS) + """
 SELECT page_id AS url_id, 'spatial-default-v2' AS schema_name,
        CASE WHEN text <> '' THEN 0.67::DOUBLE ELSE 0.45::DOUBLE END AS confidence,
        round(page_score::FLOAT::DOUBLE, 5) AS geo_score, title FROM scored"""
+ORACLES["process_answers"] = with_(*_QUEUED_SIGNALS) + """
+SELECT page_id AS url_id,
+       CASE WHEN page_id % 16 = 9 THEN 0.95::DOUBLE WHEN page_id % 16 = 13 THEN 0.62::DOUBLE
+            WHEN text <> '' THEN 0.67::DOUBLE ELSE 0.45::DOUBLE END AS confidence,
+       CASE WHEN page_id % 16 IN (9, 13) THEN concat('Answer ', page_id) ELSE title END AS title
+FROM scored WHERE page_id % 16 NOT IN (1, 4, 5, 8)"""
+ORACLES["saved_pages"] = """
+SELECT page_id AS id, length(html) + 1 AS chars, md5(concat(html, chr(10))) AS html_md5
+FROM pages WHERE page_id % 7 <> 0"""
 ORACLES["process_discoveries"] = with_(
     *_QUEUED_SIGNALS,
     *FRONTIER_PARTS[len(LINKED_SIGNALS):],
@@ -734,7 +755,8 @@ SELECT run, id, url, status, code::BIGINT AS code, round(ms, 2) AS ms, bytes, ht
        replace(error, chr(9), ' ') AS error FROM log""")
 ORACLES["summary_table"] = on_log(
     f"""SELECT run AS name, fetched, total_urls AS total, round(avg_ms, 6) AS avg_ms, p95 AS p95_ms,
-    round({_PPS}, 6) AS pages_per_sec, total_bytes, extracted_docs, total_chars
+    round({_PPS}, 6) AS pages_per_sec, round({_PPS} * 60, 6) AS pages_per_min, round({_PPS} * 86400, 6) AS pages_per_day,
+    round(total_bytes / (fetched / {_PPS}) / 1048576.0::DOUBLE, 9) AS mb_per_sec, total_bytes, extracted_docs, total_chars
     FROM totals JOIN p USING (run) JOIN chars_by_run USING (run)""",
     *RUN_PARTS,
 )
@@ -763,6 +785,7 @@ OUT_PARTS = (
         "counted",
         """SELECT worker, ts, outcome_id, failed, round(latency_ms * 100)::BIGINT AS cents,
         count(*) FILTER (NOT failed) OVER w AS processed_count,
+        count(latency_ms) FILTER (NOT failed) OVER w AS timed_count,
         count(*) FILTER (failed) OVER w AS failed_count,
         coalesce(sum(frontier) FILTER (NOT failed) OVER w, 0)::BIGINT AS frontier_enqueued,
         coalesce(sum(round(latency_ms * 100)::BIGINT) FILTER (NOT failed) OVER w, 0)::BIGINT AS total,
@@ -777,8 +800,8 @@ OUT_PARTS = (
     (
         "flush",
         f"""SELECT s.worker, s.outcome_id, s.final, s.ts, s.processed_count, s.failed_count,
-        s.frontier_enqueued, {two_places('s.total', 's.processed_count')} AS avg_latency_ms,
-        coalesce(list_sort(list(v.cents))[1 + floor(0.95::DOUBLE * (count(v.cents) - 1))::BIGINT], 0) / 100.0::DOUBLE AS p95_latency_ms
+        s.frontier_enqueued, {two_places('s.total', 's.timed_count')} AS avg_latency_ms,
+        coalesce(list_sort(list(v.cents) FILTER (v.cents IS NOT NULL))[1 + floor(0.95::DOUBLE * (count(v.cents) - 1))::BIGINT], 0) / 100.0::DOUBLE AS p95_latency_ms
         FROM shots s LEFT JOIN counted v ON v.worker = s.worker AND NOT v.failed
           AND v.processed_count <= s.processed_count
         GROUP BY ALL""",

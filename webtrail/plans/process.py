@@ -8,7 +8,9 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.payload import PAYLOAD_TYPE, heuristic_payload, model_payload
 from ..functions.scoring import priority
+from ..functions.signals import with_signals
 from ..functions.urls import canonicalize_url
 from ..operators import queue as Q
 from ..operators.links import expand, with_candidates, worth_queueing
@@ -16,10 +18,15 @@ from ..operators.store import store_latest
 from ..params import DEFAULTS, SCHEMA_NAME, Params
 from ..session import cut_lineage, shared_dir
 from ..sources.queue_store import QueueStore
-from .pages import analyze_links, analyze_pages
+from .pages import analyze_links
 
 # Fixed value: message of a URL that could not be fetched.
 NO_PAGE = "fetch failed or timeout"
+# A text column of the stored tables holds no character 0, nor does a stored JSON document.
+NOT_STORED = "insert raw_page failed: text holds a character 0"
+NOT_SAVED = "insert extraction failed: payload holds a character 0"
+# Steps whose failure ends a page, in order.
+STEPS = ("fetch", "store", "analysis", "save")
 
 
 def stride(params: Params) -> int:
@@ -49,30 +56,66 @@ def fetch_lookup(claims: DataFrame, pages: DataFrame, key: str = "page_id") -> D
 
 @dataclass(frozen=True)
 class Processed:
-    """What one batch of pages leaves behind."""
+    """What one batch of pages leaves behind. ``analyzed`` is the table the other four are read from."""
 
+    analyzed: DataFrame
     outcomes: DataFrame
+    pages: DataFrame
     extractions: DataFrame
     discoveries: DataFrame
 
 
 def process_pages(
-    batch: DataFrame, at: Column, html: str = "html", params: Params = DEFAULTS
+    batch: DataFrame,
+    at: Column,
+    html: str = "html",
+    params: Params = DEFAULTS,
+    response: str | None = None,
 ) -> Processed:
-    """Extract, score and expand claimed pages.
-
-    ``batch``: id, url, depth, claim_rank, page_id and html (NULL when the fetch
-    gave nothing). Failures become messages in ``outcomes``; expansion takes no
-    part in success. Depth only gates and adds a constant to the priority.
+    """Fetch, store, analyse, score, save and expand claimed pages.
+
+    ``batch``: id, url, depth, claim_rank, page_id and html (NULL when the fetch gave nothing);
+    ``fetch_error``, ``status_code`` and ``content_type`` may be there. ``response`` names a column of
+    stored model answers: pages that have one take payload and confidence from it. Each step has a
+    column with its own message, and the first one that is not NULL is the page's failure; a
+    step that fails takes nothing from the steps before it, so the page of a URL whose analysis
+    failed stays stored. Expansion takes no part in success. Depth only gates and adds a
+    constant to the priority.
+
+    The pages are analysed once, into a table of the shared folder; HTML is not in it, and stored
+    pages are cut from the batch itself.
     """
-    outcomes = batch.select(
-        "id",
-        "claim_rank",
-        F.when(F.col(html).isNull(), F.lit(NO_PAGE)).alias("failure"),
+    given = {c: F.col(c) if c in batch.columns else F.lit(None) for c in ("fetch_error", "status_code", "content_type")}
+    fetched = batch.withColumns(
+        {
+            "fetch_error": F.coalesce(
+                given["fetch_error"].cast("string"), F.when(F.col(html).isNull(), F.lit(NO_PAGE))
+            ),
+            "store_error": F.when(F.contains(F.col(html), F.lit("\0")), F.lit(NOT_STORED)),
+        }
+    )
+    stored = F.col("fetch_error").isNull() & F.col("store_error").isNull()
+    pages = fetched.filter(stored).select(
+        F.col("id").alias("url_id"),
+        "url",
+        F.col(html).alias("html"),
+        given["status_code"].cast("int").alias("status_code"),
+        given["content_type"].cast("string").alias("content_type"),
+        at.alias("fetched_at"),
     )
-    fetched = batch.filter(F.col(html).isNotNull())
-    analyzed = analyze_pages(fetched, html, params=params)
-    extractions = analyzed.select(
+    keep = ["id", "claim_rank", "url", "depth", "page_id", "fetch_error", "store_error"]
+    seen = fetched.filter(stored).select(*keep, html, *([response] if response else []))
+    made = heuristic_payload(seen, html, params=params).withColumn("analysis_error", F.lit(None).cast("string"))
+    if response is not None:
+        made = _with_answers(made, response)
+    scored = with_signals(made.drop(html), params=params)
+    saved = with_candidates(scored, params=params).drop("anchors")
+    saved = saved.withColumn("save_error", F.when(F.contains(_texts_of("payload"), F.lit("\0")), F.lit(NOT_SAVED)))
+    lost = fetched.filter(~stored).select(*keep)
+    analyzed = cut_lineage(saved.unionByName(lost, allowMissingColumns=True))
+    analyzed = analyzed.withColumn("failure", F.coalesce(*(f"{step}_error" for step in STEPS)))
+    done = analyzed.filter("failure IS NULL")
+    extractions = done.select(
         F.col("id").alias("url_id"),
         "page_id",
         F.lit(SCHEMA_NAME).alias("schema_name"),
@@ -82,11 +125,34 @@ def process_pages(
         "signals",
         at.alias("extracted_at"),
     )
-    links = with_candidates(analyzed.filter(F.col("depth") < params.max_depth), params=params)
+    links = done.filter(F.col("depth") < params.max_depth)
     discoveries = as_discoveries(
         worth_queueing(expand(links, ["id", "claim_rank"], "depth", params), params), params
     )
-    return Processed(outcomes, extractions, discoveries)
+    outcomes = analyzed.select("id", "claim_rank", "failure")
+    return Processed(analyzed, outcomes, pages, extractions, discoveries)
+
+
+def _texts_of(payload: str) -> Column:
+    """All text of a payload."""
+    single = ("title", "main_content", "description", "article_date", "author")
+    links = F.transform(F.col(payload)["links"], lambda a: F.concat(a["href"], a["text"]))
+    lists = (F.col(payload)["geo_entities"], F.col(payload)["location_hints"], links)
+    return F.concat_ws("", *(F.col(payload)[c] for c in single), *(F.array_join(c, "") for c in lists))
+
+
+def _with_answers(made: DataFrame, response: str) -> DataFrame:
+    """Payload and confidence of the model's answer where there is one, or its error."""
+    own = made.withColumnsRenamed({"payload": "own_payload", "confidence": "own_confidence"}).drop("analysis_error")
+    answered = F.col(response).isNotNull()
+    both = model_payload(own, response)
+    return both.withColumns(
+        {
+            "analysis_error": F.when(answered, F.col("error")),
+            "payload": F.when(answered, F.col("payload")).otherwise(F.col("own_payload").cast(PAYLOAD_TYPE)),
+            "confidence": F.when(answered, F.col("confidence")).otherwise(F.col("own_confidence")),
+        }
+    ).drop("own_payload", "own_confidence", "parse_error", "outcome", "error", response)
 
 
 def as_discoveries(
