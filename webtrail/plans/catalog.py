@@ -861,3 +861,17 @@ def stream_metrics(spark, sf):
         "worker", "processed_count", "failed_count", "frontier_enqueued", r6("avg_latency_ms"),
         r6("p95_approx_ms"),
     )
+
+
+@query
+def stream_flush(spark, sf):
+    """Snapshots by count from the state of a stream, and a last one of each worker at its stop."""
+    out = fresh_folder(spark, "stream-flush")
+    log = worker_log(spark, sf)
+    log.write.parquet(f"{out}/outcomes")
+    rows = spark.read.parquet(f"{out}/outcomes")
+    later = F.lit(rows.agg(F.max("ts")).first()[0]) + F.expr("INTERVAL 1 DAY")
+    SM.stop_row(spark, rows.schema, later).write.mode("append").parquet(f"{out}/outcomes")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{out}/outcomes")
+    SM.run_counted_metrics(stream, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
+    return _metric_row(spark.read.parquet(f"{out}/rows"), "outcome_id", "final")

@@ -808,6 +808,7 @@ OUT_PARTS = (
     ),
 )
 ORACLES["metrics_flush"] = with_(*OUT_PARTS) + "SELECT * EXCLUDE (ts) FROM flush"
+ORACLES["stream_flush"] = ORACLES["metrics_flush"]
 ORACLES["latest_metrics"] = with_(*OUT_PARTS) + "SELECT * EXCLUDE (ts, final) FROM flush WHERE final"
 ORACLES["worker_metrics"] = with_(*OUT_PARTS) + (
     "SELECT * EXCLUDE (ts, final, outcome_id) FROM flush WHERE final"
