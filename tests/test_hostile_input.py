@@ -51,6 +51,28 @@ def test_unclosed_blocks(spark, fn, page, made):
     assert one(spark, fn, page) == made
 
 
+MB = 1_000_000
+
+
+@pytest.mark.parametrize("fn, page, made", [
+    (H.page_text, "<" * MB, "<" * MB), (H.page_text, "a<b>c" + "<" * MB, "a c" + "<" * MB),
+    (H.main_text, "x" + "<!-" * (MB // 3), "x" + "<!-" * (MB // 3)),
+    (H.page_text, "<script" * (MB // 7) + ">b", None), (H.main_text, "<nav " * (MB // 5) + ">b", "b"),
+    (lambda c: F.size(H.anchors(c)), "<a " * (MB // 3), 0),
+    (lambda c: F.size(H.anchors(c)), "<a " * (MB // 3) + "</a>", 0),
+    (lambda c: F.size(H.anchors(c)), "<a " * (MB // 3) + 'href="x">t</a>', 1),
+    (lambda c: H.anchors(c)[0]["text"], '<a href="x">t' + "<" * MB + "</a>", "t" + "<" * 219),
+    (H.title, "<title" * (MB // 6), None), (H.title, "<title" * (MB // 6) + "><title>t</title>", "t"),
+    (H.description, "<meta " * (MB // 6), None),
+    (H.description, '<meta name="description" ' * (MB // 25), None),
+    (H.description, '<meta name="description" ' * (MB // 25) + '><meta name="description" content="d">', "d"),
+    (lambda c: F.length(H.dom_summary(c, 2 * MB)), "<a " * (MB // 3), 3 * (MB // 3)),
+])
+def test_tags_that_never_end(spark, fn, page, made):
+    got = one(spark, fn, page)
+    assert made is None and got in (None, "<script" * (MB // 7) + ">b", "b") or got == made
+
+
 SHAPE = "k long, at long, seq long, v string"
 
 

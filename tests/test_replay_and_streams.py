@@ -2,16 +2,19 @@ import os
 import random
 import re
 import tempfile
+import time
 
 import plain
 from pyspark.sql import functions as F
 
 from webtrail.operators import queue as Q
+from webtrail.operators import workers as W
 from webtrail.plans import fixtures as X
 from webtrail.plans.process import replay
 from webtrail.session import cut_lineage
 from webtrail.sources.queue_store import QueueStore
 from webtrail.streaming import ingest as SI
+from webtrail.streaming import metrics as SM
 from test_queue import at, by_id, make_queue, upsert_one
 
 
@@ -169,3 +172,38 @@ def test_three_batches_equal_whole_queue_merges(spark, sf_dir):
     parents = {r.parent_url_id for r in got.collect()} - {None}
     assert parents and max(parents) < 100_000
     assert got.filter("depth = 2 and source like 'frontier:%'").count() > 0
+
+
+def test_counted_stream_equals_the_batch_operator(spark):
+    """Several micro-batches, failures at a multiple of 15, latencies that are null, and the stop."""
+    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    rnd = random.Random(9)
+    rows = [
+        (f"w{rnd.choice([0, 0, 0, 1, 2])}", i, i, rnd.random() < 0.2,
+         None if rnd.random() < 0.3 else round(rnd.choice([3.0, 900.0, 41.25]) * rnd.random(), 2), i % 4)
+        for i in range(900)
+    ]
+    schema = "worker string, t int, outcome_id bigint, failed boolean, latency_ms double, frontier bigint"
+    df = spark.createDataFrame(rows, schema).withColumn("ts", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("t") * 30)).drop("t")
+    want = W.metric_snapshots(df)
+    for n in range(3):
+        part = df.filter((F.col("outcome_id") >= 300 * n) & (F.col("outcome_id") < 300 * (n + 1)))
+        part.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        time.sleep(1.1)
+    SM.stop_row(spark, df.schema, F.lit("2024-01-01").cast("timestamp")).write.mode("append").parquet(f"{folder}/in")
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    SM.run_counted_metrics(stream, f"{folder}/out", f"{folder}/c").awaitTermination()
+    got = spark.read.parquet(f"{folder}/out")
+    columns = ["worker", "outcome_id", "final", *W.METRICS, "avg_latency_ms", "p95_latency_ms"]
+    rows_of = lambda x: sorted(tuple(r) for r in x.select(*columns).collect())
+    assert rows_of(got) == rows_of(want)
+    assert got.filter("final").count() == 3
+
+
+def test_quantiles_ignore_null_latencies(spark):
+    rows = [("w", i, i, False, 10.0 if i % 2 else None, 0) for i in range(30)]
+    schema = "worker string, t int, outcome_id bigint, failed boolean, latency_ms double, frontier bigint"
+    df = spark.createDataFrame(rows, schema).withColumn("ts", F.timestamp_seconds("t")).drop("t")
+    last = W.latest_metrics(W.metric_snapshots(df)).first()
+    assert (float(last.p95_latency_ms), float(last.avg_latency_ms)) == (10.0, 10.0)
+    assert float(W.worker_metrics(df).first().p95_latency_ms) == 10.0

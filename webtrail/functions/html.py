@@ -34,6 +34,32 @@ COMMENT = r"(?s)<!--.*?-->"
 LINK_END = "(?isu)^.*</a>"
 
 
+# A tag that never ends would be looked at to the end of the page from each of its beginnings. Text
+# after the last ``>`` holds no whole tag, so patterns run on what is before. Between two ``>`` all
+# beginnings of a tag see the same end, so where the first one does not fit none does: the
+# patterns below then take the whole stretch, and each is read once.
+LINK_OR_TAG = LINK.replace("[^>]*href", "(?:[^>]*href") + "|[^>]*>)"
+LINK_FROM_START = LINK.replace("<a", r"\A<a", 1)
+TITLE_OR_TAG = r"(?iu)<title[^>]*>(?:([^<]+)</title>)?"
+DESCRIPTION_OR_TAG = DESCRIPTION.replace("[^>]*content", "(?:[^>]*content") + "|[^>]*)"
+
+
+def _tail(html: Column) -> Column:
+    """What comes after the last ``>``."""
+    return F.substring_index(html, ">", -1)
+
+
+def _closed(html: Column) -> Column:
+    """The page up to its last ``>``."""
+    return F.substring(html, F.lit(1), F.length(html) - F.length(_tail(html)))
+
+
+def _first(html: Column, pattern: str) -> Column:
+    """What the pattern's group holds where it first fits, else an empty text."""
+    found = F.filter(F.regexp_extract_all(_closed(html), F.lit(pattern), F.lit(1)), lambda x: x != "")
+    return F.coalesce(F.get(found, 0), F.lit(""))
+
+
 def _replace_blocks(html: Column, pattern: str, begin: str, filler: str) -> Column:
     """All blocks replaced. Before an unclosed one ``filler`` is added: nothing, or a blank
     that goes with the blanks its tag leaves."""
@@ -44,34 +70,35 @@ def boilerplate_block(name: str) -> str:
     return rf"(?is)<{name}(?:\s[^>]*)?>.*?</{name}\s*>"
 
 
-def without_code(html: Column, filler: str) -> Column:
-    """HTML with script and style blocks replaced by ``filler``."""
-    bare = _replace_blocks(html, SCRIPT, "<script[^>]*>", filler)
+def without_code(closed: Column, filler: str) -> Column:
+    """HTML that ends with ``>``, with script and style blocks replaced by ``filler``."""
+    bare = _replace_blocks(closed, SCRIPT, "<script[^>]*>", filler)
     return _replace_blocks(bare, STYLE, "<style[^>]*>", filler)
 
 
 def page_text(html: Column) -> Column:
     """Visible text: code blocks and tags removed, whitespace collapsed."""
-    return squeeze(F.regexp_replace(without_code(html, " "), TAG, " "))
+    bare = F.regexp_replace(without_code(_closed(html), " "), TAG, " ")
+    return squeeze(F.concat(bare, _tail(html)))
 
 
 def main_text(html: Column) -> Column:
     """Visible text without navigation, header, footer, aside and comment blocks."""
-    body = _replace_blocks(without_code(html, " "), COMMENT, "<!--", " ")
+    body = _replace_blocks(without_code(_closed(html), " "), COMMENT, "<!--", " ")
     for name in BOILERPLATE:
         begin = rf"<{name}(?:\s[^>]*)?>"
         body = _replace_blocks(body, boilerplate_block(name), begin, " ")
-    return squeeze(F.regexp_replace(body, TAG, " "))
+    return squeeze(F.concat(F.regexp_replace(body, TAG, " "), _tail(html)))
 
 
 def title(html: Column) -> Column:
     """First non-blank title element, NULL when there is none."""
-    return blank_to_null(head(strip(F.regexp_extract(html, TITLE, 1)), FIELD_CHARS))
+    return blank_to_null(head(strip(_first(html, TITLE_OR_TAG)), FIELD_CHARS))
 
 
 def description(html: Column) -> Column:
     """Meta description whose ``name`` comes before ``content``, else NULL."""
-    return blank_to_null(head(strip(F.regexp_extract(html, DESCRIPTION, 1)), FIELD_CHARS))
+    return blank_to_null(head(strip(_first(html, DESCRIPTION_OR_TAG)), FIELD_CHARS))
 
 
 def anchors(html: Column) -> Column:
@@ -80,18 +107,23 @@ def anchors(html: Column) -> Column:
     The page is scanned once for whole elements, up to the last end of one; address and
     text are then read from the short matches.
     """
+    found = F.regexp_extract_all(F.regexp_extract(html, LINK_END, 0), F.lit(LINK_OR_TAG), F.lit(0))
     return F.transform(
-        F.regexp_extract_all(F.regexp_extract(html, LINK_END, 0), F.lit(LINK), F.lit(0)),
+        F.filter(found, lambda a: a.rlike(LINK_FROM_START)),
         lambda a: F.struct(
             strip(F.regexp_extract(a, LINK, 1)).alias("href"),
             head(
-                squeeze(F.regexp_replace(F.regexp_extract(a, LINK, 2), TAG, " ")),
+                squeeze(_untagged(F.regexp_extract(a, LINK, 2))),
                 ANCHOR_CHARS,
             ).alias("text"),
         ),
     )
 
 
+def _untagged(text: Column) -> Column:
+    return F.concat(F.regexp_replace(_closed(text), TAG, " "), _tail(text))
+
+
 def raw_links(found: Column) -> Column:
     """The first 50 links with an address, unresolved and not deduplicated."""
     return F.slice(
@@ -122,7 +154,7 @@ def _short_tag(tag: Column) -> Column:
 
 def dom_summary(html: Column, max_chars: int = 50000) -> Column:
     """HTML without code blocks, each opening tag reduced to its key attributes."""
-    bare = without_code(html, "")
+    bare = without_code(_closed(html), "")
     tags = F.transform(F.regexp_extract_all(bare, F.lit(OPEN_TAG), F.lit(0)), _short_tag)
     joined = F.array_join(
         F.zip_with(
@@ -132,6 +164,7 @@ def dom_summary(html: Column, max_chars: int = 50000) -> Column:
         ),
         "",
     )
+    joined = F.concat(joined, _tail(html))
     return F.when(
         F.length(joined) > max_chars, F.concat(head(joined, max_chars), F.lit(TRUNCATION_MARK))
     ).otherwise(joined)
