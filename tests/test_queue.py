@@ -117,6 +117,32 @@ def test_claims_of_hashed_ids(spark):
         assert got == want
 
 
+@pytest.mark.parametrize("most", [50_000, 100])
+def test_claims_from_one_large_class(spark, monkeypatch, most):
+    """400,000 rows of equal rank: nothing but the claimed rows is numbered or gathered."""
+    monkeypatch.setattr(Q, "BROADCAST_ROWS", most)
+    rows = spark.range(400_000).select(
+        (F.col("id") * 1_000_003 - (1 << 40)).alias("id"), F.lit("pending").alias("status"), F.lit(5).alias("priority"),
+        F.lit(0.5).cast("float").alias("geo_score"), F.lit(0).alias("retries"), F.lit(3).alias("max_retries"),
+    )
+    for batch in (10, 700):
+        got = sorted((r.claim_rank, r.id) for r in Q.claim_set(rows, batch).collect())
+        assert got == [(k + 1, k * 1_000_003 - (1 << 40)) for k in range(batch)]
+    plan = Q.claim_set(rows, 10)._jdf.queryExecution().optimizedPlan().toString()
+    # the window is above a filter that lets claimed ids through only
+    assert re.search(r"Window.*\n(?:.*\n)*.*Filter .*<=", plan) or most == 100
+
+
+def test_nth_id(spark, monkeypatch):
+    monkeypatch.setattr(Q, "BROADCAST_ROWS", 5)
+    rnd = random.Random(3)
+    spread = [rnd.randrange(-(1 << 62), 1 << 62) for _ in range(300)]
+    values = sorted({-(1 << 63), (1 << 63) - 1, 0, -1, *spread, *range(90, 140)})
+    ids = spark.createDataFrame([(v,) for v in values], "id bigint")
+    for n in (1, 2, 100, 180, len(values)):
+        assert Q.nth_id(ids, n, len(values)) == values[n - 1]
+
+
 def test_claim_windows_are_partitioned(spark, sf_dir):
     from webtrail.plans.catalog import queue_of
 

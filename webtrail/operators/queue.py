@@ -28,8 +28,6 @@ QUEUE_COLUMNS = [part.split()[0] for part in QUEUE_SCHEMA.split(", ")]
 ERROR_CHARS = 4096
 # A table known to hold at most this many narrow rows (a few MB) is broadcast.
 BROADCAST_ROWS = 50_000
-# A class of equal rank is numbered in this many pieces.
-PIECES = 64
 
 
 def bounded(rows: DataFrame, bound: int | None) -> DataFrame:
@@ -133,52 +131,91 @@ def claim_set(queue: DataFrame, batch: int, workers: int = 1) -> DataFrame:
     """``id, claim_rank, worker``: the next ``batch`` URLs for each of the workers.
 
     The order is by rank score, retries and id. A histogram over (rank score, retries) tells
-    which of these classes are due at all, and holds ``PIECES`` cut points of the ids of each.
-    Between them a class falls into pieces of about equal size whatever its ids are like; only
-    the sizes of pieces are added up, and rows are numbered inside pieces that begin before
-    the last wanted rank. So no task sees a whole class. Workers get disjoint runs of ranks.
+    which of these classes are due, and in which one the claim ends. The last id that it
+    takes of that class is found by :func:`nth_id`, from counts alone; so the claimed rows
+    come out of a plain filter of the queue, whatever the size of a class. Only they are
+    numbered, in classes or, where the claim is large, in ranges. Workers get disjoint runs
+    of ranks.
     """
     wanted = batch * workers
     of_class = ["rank_score", "retries"]
     open_ = with_rank(claimable(queue)).select("id", *of_class)
-    cuts = [k / PIECES for k in range(1, PIECES)]
     # one row for each class: few, as both columns are small numbers
     ahead = Window.orderBy(F.col("rank_score").desc(), "retries").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    # written, since approximate cut points must be the same wherever they are used
     due = cut_lineage(
         open_.groupBy(*of_class)
-        .agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("id", cuts).alias("cuts"))
+        .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("start", F.coalesce(F.sum("n").over(ahead), F.lit(0)))
         .filter(F.col("start") < wanted)
-        .drop("n")
-    )
-    pieces = open_.join(due, of_class).select(
-        "id", *of_class, "start",
-        F.size(F.filter("cuts", lambda c: c < F.col("id"))).alias("piece"),
-    )
-    before = Window.partitionBy(*of_class).orderBy("piece").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    starts = (
-        pieces.groupBy(*of_class, "piece")
-        .agg(F.count(F.lit(1)).alias("n"), F.first("start").alias("start"))
-        .withColumn("first", F.col("start") + F.coalesce(F.sum("n").over(before), F.lit(0)))
-        .filter(F.col("first") < wanted)
-        .select(*of_class, "piece", "first")
-    )
-    within = Window.partitionBy(*of_class, "piece").orderBy("id")
-    ranked = (
-        pieces.join(starts, [*of_class, "piece"])
-        .withColumn("claim_rank", (F.row_number().over(within) + F.col("first")).cast("bigint"))
-        .filter(F.col("claim_rank") <= wanted)
     )
+    last = due.filter(F.col("start") + F.col("n") > wanted).first()
+    claimed = open_
+    if last is not None:
+        rank, retries = F.col("rank_score"), F.col("retries")
+        of_last = (rank == last.rank_score) & (retries == last.retries)
+        end = nth_id(open_.filter(of_last).select("id"), wanted - last.start, last.n)
+        before = (rank > last.rank_score) | ((rank == last.rank_score) & (retries < last.retries))
+        claimed = open_.filter(before | (of_last & (F.col("id") <= end)))
+    if wanted <= BROADCAST_ROWS:
+        within = Window.partitionBy(*of_class).orderBy("id")
+        ranked = claimed.join(due.drop("n"), of_class).withColumn(
+            "claim_rank", F.row_number().over(within) + F.col("start")
+        )
+    else:
+        ranked = _in_order(claimed, [F.col("rank_score").desc(), F.col("retries"), F.col("id")])
+        ranked = ranked.withColumn("claim_rank", F.col("number_") + 1)
+    rank = F.col("claim_rank").cast("bigint")
     return ranked.select(
-        "id", "claim_rank", F.floor((F.col("claim_rank") - 1) / batch).cast("bigint").alias("worker")
+        "id", rank.alias("claim_rank"), F.floor((rank - 1) / batch).cast("bigint").alias("worker")
     )
 
 
+# An id is looked for by so many of its bits at a time.
+DIGIT_BITS = 16
+
+
+def nth_id(ids: DataFrame, n: int, size: int) -> int:
+    """The ``n``-th smallest of ``size`` different ids, by radix selection.
+
+    Each pass counts the ids left by their next bits and goes on with the value that holds the
+    wanted one, until at most ``BROADCAST_ROWS`` are left: these are sorted. No pass sorts or
+    gathers more than that, or than ``2 ** DIGIT_BITS`` counts.
+    """
+    shift = 64
+    while size > BROADCAST_ROWS and shift > 0:
+        shift -= DIGIT_BITS
+        upto = Window.orderBy("digits_").rowsBetween(Window.unboundedPreceding, 0)
+        counts = ids.groupBy(F.shiftright("id", shift).alias("digits_")).agg(F.count(F.lit(1)).alias("c_"))
+        found = (
+            counts.withColumn("upto_", F.sum("c_").over(upto)).filter(F.col("upto_") >= n).orderBy("digits_").first()
+        )
+        ids = ids.filter(F.shiftright("id", shift) == found.digits_)
+        n, size = n - (found.upto_ - found.c_), found.c_
+    return ids.orderBy("id").limit(n).agg(F.max("id")).first()[0]
+
+
+def _in_order(rows: DataFrame, order: list[Column]) -> DataFrame:
+    """Add ``number_``, the place of each row in this order, from 0.
+
+    Rows are sorted in ranges; a row's number is its place in its range after the sizes of the
+    ranges before. Only these sizes, one for each task, are added up.
+    """
+    sorted_ = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = cut_lineage(sorted_.withColumn("place_", F.monotonically_increasing_id()))
+    # a task's rows are numbered from its own number times 2**33
+    placed = placed.withColumn("range_", F.shiftright("place_", 33))
+    earlier = Window.orderBy("range_").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy("range_").agg(F.count(F.lit(1)).alias("n_"))
+    before = cut_lineage(
+        sizes.select("range_", F.coalesce(F.sum("n_").over(earlier), F.lit(0)).alias("before_"))
+    )
+    inside = F.col("place_").bitwiseAND((1 << 33) - 1)
+    made = placed.join(before, "range_").withColumn("number_", F.col("before_") + inside)
+    return made.drop("place_", "range_", "before_")
+
+
 def apply_claims(
     queue: DataFrame, claims: DataFrame, at: Column, bound: int, worker_id: str | None = None
 ) -> DataFrame:
@@ -339,21 +376,9 @@ def upsert_discovered(
 
 
 def number_arrivals(rows: DataFrame, next_id: int) -> DataFrame:
-    """Ids for the rows that have none: ``next_id`` and on, without gaps, in order of ``arrival``.
-
-    Rows are sorted in ranges of arrivals; a row's number is its place in its range after
-    the sizes of the ranges before. Only these sizes, one for each task, are added up.
-    """
-    new = rows.filter("id IS NULL").repartitionByRange("arrival").sortWithinPartitions("arrival")
-    placed = cut_lineage(new.withColumn("place_", F.monotonically_increasing_id()))
-    # a task's rows are numbered from its own number times 2**33
-    placed = placed.withColumn("range_", F.shiftright("place_", 33))
-    earlier = Window.orderBy("range_").rowsBetween(Window.unboundedPreceding, -1)
-    before = placed.groupBy("range_").agg(F.count(F.lit(1)).alias("n_")).select(
-        "range_", F.coalesce(F.sum("n_").over(earlier), F.lit(0)).alias("before_")
-    )
-    inside = F.col("place_").bitwiseAND((1 << 33) - 1)
-    made = placed.join(before, "range_").withColumn("id", F.lit(next_id) + F.col("before_") + inside)
+    """Ids for the rows that have none: ``next_id`` and on, without gaps, in order of ``arrival``."""
+    new = _in_order(rows.filter("id IS NULL"), [F.col("arrival")])
+    made = new.withColumn("id", F.lit(next_id) + F.col("number_"))
     return rows.filter("id IS NOT NULL").unionByName(made.select(*rows.columns))
 
 
