@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from webtrail.operators import queue as Q
+from webtrail.operators import store as ST
 from webtrail.plans import fixtures as X
 
 AT = dt.datetime(2024, 2, 1)
@@ -206,3 +207,17 @@ def test_fold_does_not_depend_on_partitioning(spark, sf_dir):
         sorted(map(str, Q.fold_discoveries(found.repartition(n)).collect())) for n in (1, 13)
     )
     assert a == b
+
+
+def test_roots_of_long_chains_and_circles(spark):
+    """A chain of 70, a star, a circle with a tail, a row that is its own parent."""
+    rows = [dict(id=i, url=f"c{i}", parent_url_id=i - 1 if i else None) for i in range(70)]
+    rows += [dict(id=100 + i, url=f"s{i}", parent_url_id=100 if i else 999) for i in range(40)]
+    rows += [dict(id=200 + i, url=f"r{i}", parent_url_id=200 + (i + 1) % 3) for i in range(3)]
+    rows += [dict(id=210, url="t", parent_url_id=201), dict(id=211, url="t2", parent_url_id=210), dict(id=300, url="o", parent_url_id=300)]
+    got = {r.id: (r.root_id, r.hops, r.cyclic) for r in ST.roots(make_queue(spark, rows)).collect()}
+    assert len(got) == len(rows)
+    assert all(got[i] == (0, i, False) for i in range(70))
+    assert all(got[100 + i] == (100, int(i > 0), False) for i in range(40))
+    assert all(got[i] == (None, None, True) for i in (200, 201, 202, 210, 211, 300))
+    assert ST.roots(make_queue(spark, rows).limit(0)).collect() == []

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 PAGE_SCHEMA = (
     "id BIGINT, url_id BIGINT, url STRING, html STRING, status_code INT, "
     "content_type STRING, fetched_at TIMESTAMP"
@@ -79,3 +81,36 @@ def lineage(queue: DataFrame) -> DataFrame:
         .join(parents, "parent_url_id", "left")
         .unionByName(rows.filter("parent_url_id IS NULL"), allowMissingColumns=True)
     )
+
+
+def roots(queue: DataFrame) -> DataFrame:
+    """``id, root_id, hops, cyclic``: the URL that each one was found from in the end, and how many
+    links away it is. A URL without a parent, or whose parent is gone, is its own root. Where parents go
+    round in a circle, ``root_id`` and ``hops`` are NULL and ``cyclic`` is true, also for what hangs on it.
+
+    By pointer doubling: each round replaces the ancestor of a URL by that one's ancestor, so rounds grow
+    with the logarithm of the longest chain. URLs that have reached their root leave the join, where
+    all children of one root would meet; after ``log2`` of the number of URLs the rest is cyclic.
+    """
+    rows = queue.select("id", F.col("parent_url_id").alias("at"))
+    known = queue.select(F.col("id").alias("at"), F.lit(1).cast("bigint").alias("hops"))
+    with_parent = rows.filter("at IS NOT NULL").join(known, "at", "left_semi")
+    first = cut_lineage(
+        rows.join(with_parent.select("id"), "id", "left_anti").select("id", F.col("id").alias("at"), F.lit(0).cast("bigint").alias("hops"))
+    )
+    settled, n = first, queue.count()
+    open_ = cut_lineage(with_parent.select("id", "at", F.lit(1).cast("bigint").alias("hops")))
+    length = 1
+    while length <= n and not open_.isEmpty():
+        steps = settled.withColumn("end_", F.lit(True)).unionByName(open_.withColumn("end_", F.lit(False)))
+        steps = steps.select(F.col("id").alias("at"), F.col("at").alias("next_"), F.col("hops").alias("more_"), "end_")
+        moved = cut_lineage(
+            open_.join(steps, "at").select("id", F.col("next_").alias("at"), (F.col("hops") + F.col("more_")).alias("hops"), "end_")
+        )
+        settled = cut_lineage(settled.unionByName(moved.filter("end_").drop("end_")))
+        open_ = moved.filter("NOT end_").drop("end_")
+        length *= 2
+    none = F.lit(None).cast("bigint")
+    return settled.select("id", F.col("at").alias("root_id"), "hops", F.lit(False).alias("cyclic")).unionByName(
+        open_.select("id", none.alias("root_id"), none.alias("hops"), F.lit(True).alias("cyclic"))
+    )

@@ -416,6 +416,13 @@ def lineage(spark, sf):
     )
 
 
+@query
+def lineage_roots(spark, sf):
+    """Root and distance of every URL; some chains are closed to circles, some parents are gone."""
+    parent = F.when(F.col("id") % 35 == 0, F.col("id") + 2).when(F.col("id") % 35 == 10, F.lit(-1)).otherwise(F.col("parent_url_id"))
+    return ST.roots(queue_of(spark, sf).withColumn("parent_url_id", parent.cast("bigint")))
+
+
 @query
 def store_extractions(spark, sf):
     """Extractions of all pages, then twice a later batch for every third one."""

@@ -563,6 +563,16 @@ UNION ALL SELECT 'page_url', (page_id + 5)::VARCHAR, 1 FROM pages WHERE page_id
 ORACLES["lineage"] = on_queue("""
 SELECT c.id, c.url, c.parent_url_id, p.url AS parent_url, p.status AS parent_status
 FROM queue c LEFT JOIN queue p ON p.id = c.parent_url_id""")
+ORACLES["lineage_roots"] = f"""
+WITH RECURSIVE parents AS (
+  SELECT id, CASE WHEN id % 35 = 0 THEN id + 2 WHEN id % 35 = 10 THEN -1 ELSE parent_url_id END AS parent FROM ({QUEUE})
+),
+reached AS (
+  SELECT id, id AS root_id, 0::BIGINT AS hops FROM parents WHERE parent IS NULL OR parent NOT IN (SELECT id FROM parents)
+  UNION ALL
+  SELECT p.id, r.root_id, r.hops + 1 FROM reached r JOIN parents p ON p.parent = r.id
+)
+SELECT p.id, r.root_id, r.hops, r.id IS NULL AS cyclic FROM parents p LEFT JOIN reached r ON r.id = p.id"""
 ORACLES["store_extractions"] = """
 SELECT page_id AS url_id, page_id, CASE WHEN page_id % 3 = 0 THEN 'v2' ELSE 'v1' END AS schema_name,
        CASE WHEN page_id % 3 = 0 THEN '2024-02-02 00:00:00' ELSE '2024-02-01 00:00:00' END AS extracted_at
