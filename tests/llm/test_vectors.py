@@ -75,6 +75,30 @@ def test_clusters_and_hard_rows(spark, monkeypatch, rows_in_block):
     assert [r[1:3] for r in made if r[0] in (906, 907)] == [(1, 906)] * 2
 
 
+def test_links_count_at_both_ends(spark, monkeypatch):
+    """Few visits, so that many links are found from one side only: none counts for that side alone."""
+    monkeypatch.setattr(V, "CELL_ROWS", 5)
+    rng = np.random.default_rng(5)
+    base = rng.standard_normal((40, 32))
+    points = np.repeat(base, 25, 0) + rng.standard_normal((1000, 32)) * rng.uniform(0.1, 0.3, (1000, 1))
+    rows = [(k, [float(x) for x in p]) for k, p in enumerate(points.astype(np.float32))]
+    table = spark.createDataFrame([(i, v, 0) for i, v in rows], SHAPE)
+    plain = brute(rows)
+    there = sum(r[1] for r in plain)
+    for recall, least in ((0.5, 0.3), (V.TARGET_RECALL, 0.99)):
+        made = got(table, recall=recall)
+        found = sum(r[1] for r in made)
+        assert found % 2 == 0 and least * there <= found <= there
+        assert all(m[0] == p[0] and m[1] <= p[1] for m, p in zip(made, plain))
+    assert there > 2000
+
+
+def test_links_that_a_member_does_not_find():
+    mask = np.array([[True, True, False], [False, True, False]])
+    cell, cells = np.array([4, 9]), np.array([[0, 4], [1, 9], [4, 9]])
+    assert V.unseen(mask, cell, cells).tolist() == [[False, True, False], [False, False, False]]
+
+
 def test_forest_of_a_mask():
     mask = np.zeros((4, 5), bool)
     mask[0, [1, 3]] = mask[1, 3] = mask[2, 4] = True

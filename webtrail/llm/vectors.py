@@ -12,7 +12,9 @@ the cosine in double precision.
 The number of centres follows the number of vectors, so a cell holds about ``CELL_ROWS``. A cell
 of more than ``BLOCK_ROWS`` is dealt out in blocks of members and of visitors, every pair of
 blocks to a task of its own. A task sends one count for each visitor and a spanning forest of
-the links, not the pairs. Equal vectors are one entry of the index with a count.
+the links, not the pairs. A link that only one side finds counts for both: a member knows the cells
+that it visits itself, and where the visitor's cell is not among them, it is counted for the member
+too. Equal vectors are one entry of the index with a count.
 
 Vectors that are null, empty or zero, or hold null, NaN or infinite components, link with
 nothing; vectors of different lengths do not link. Rows with a null id are named by null and
@@ -170,7 +172,7 @@ def _assigned(distinct: DataFrame, grids: dict[int, Grid]) -> DataFrame:
 def _visits(assigned: DataFrame, grids: dict[int, Grid], blocks: dict) -> DataFrame:
     """Members and visitors of each (size, cell, block of members, block of visitors)."""
     shared = assigned.sparkSession.sparkContext.broadcast((grids, blocks))
-    names = ["place", "visitor", "k", "n", "raw"]
+    names = ["place", "visitor", "k", "n", "raw", "cell", "cells"]
 
     def run(batches):
         grids, blocks = shared.value
@@ -185,25 +187,45 @@ def _visits(assigned: DataFrame, grids: dict[int, Grid], blocks: dict) -> DataFr
                 grid = grids[int(s)]
                 ones, twos = grid.sums(unit([raw[i] for i in at]))
                 for i, one, two in zip(at.tolist(), ones, twos):
+                    cells = visited(one, two, grid.visits)
                     spread = blocks[int(s), int(cell[i])]
                     own = int(k[i]) % spread
-                    out += [(f"{s} {cell[i]} {own} {v}", False, i) for v in range(spread)]
-                    for c in visited(one, two, grid.visits):
+                    known = np.sort(np.array(cells, "<i4")).tobytes()
+                    out += [(f"{s} {cell[i]} {own} {v}", known, i) for v in range(spread)]
+                    for c in cells:
                         if spread := blocks.get((int(s), c)):
                             own = int(k[i]) // 7 % spread
-                            out += [(f"{s} {c} {m} {own}", True, i) for m in range(spread)]
+                            out += [(f"{s} {c} {m} {own}", None, i) for m in range(spread)]
             for a in range(0, len(out), 20_000):
                 part = out[a : a + 20_000]
                 rows = np.array([i for _, _, i in part])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([p for p, _, _ in part]), pa.array([v for _, v, _ in part]),
+                        pa.array([p for p, _, _ in part]), pa.array([c is None for _, c, _ in part]),
                         pa.array(k[rows]), pa.array(n[rows]), pa.array([raw[i] for i in rows], pa.binary()),
+                        pa.array(cell[rows]), pa.array([c for _, c, _ in part], pa.binary()),
                     ],
                     names,
                 )
 
-    return assigned.mapInArrow(run, "place string, visitor boolean, k long, n long, raw binary")
+    shape = "place string, visitor boolean, k long, n long, raw binary, cell long, cells binary"
+    return assigned.mapInArrow(run, shape)
+
+
+def unseen(mask: np.ndarray, cell: np.ndarray, cells: np.ndarray) -> np.ndarray:
+    """The links (rows visit, columns are members) that the member does not find by its own visits.
+
+    ``cell`` is the cell of each row, ``cells`` the sorted cells that each column visits.
+    """
+    cols = np.flatnonzero(mask.any(0))
+    there, at = np.unique(cell, return_inverse=True)
+    width = max(int(there[-1]), int(cells.max())) + 1
+    own = (np.arange(len(cols))[:, None] * width + cells[cols]).ravel()
+    asked = np.arange(len(cols))[:, None] * width + there
+    sees = own[np.minimum(np.searchsorted(own, asked), len(own) - 1)] == asked
+    out = np.zeros(mask.shape, bool)
+    out[:, cols] = mask[:, cols] & ~sees[:, at].T
+    return out
 
 
 def forest(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -230,17 +252,19 @@ def _verified(visits: DataFrame, cosine: float) -> DataFrame:
     """``(a, b, links)``: counts of links (b null), and links enough to join all components."""
 
     def judged(members, visitors):
-        mk, mn, mx = members
-        vk, vx = visitors
+        mk, mn, mx, cells = members
+        vk, vn, vx, cell = visitors
         mask = (vx @ mx.T >= cosine) & (vk[:, None] != mk)
         if not mask.any():
             return None
         counts = mask @ mn
         of_rows, of_cols = forest(mask)
         r, c = np.flatnonzero(of_rows >= 0), np.flatnonzero(of_cols >= 0)
-        a = np.concatenate([vk[r], vk[r], mk[c]])
-        b = np.concatenate([np.zeros(len(r), np.int64), mk[of_rows[r]], mk[of_cols[c]]])
-        links = np.concatenate([counts[r], np.zeros(len(r) + len(c), np.int64)])
+        back = vn @ unseen(mask, cell, cells)
+        f = np.flatnonzero(back)
+        a = np.concatenate([vk[r], mk[f], vk[r], mk[c]])
+        b = np.concatenate([np.zeros(len(r) + len(f), np.int64), mk[of_rows[r]], mk[of_cols[c]]])
+        links = np.concatenate([counts[r], back[f], np.zeros(len(r) + len(c), np.int64)])
         keep = (links > 0) | (a != b)
         return pa.RecordBatch.from_arrays(
             [pa.array(a[keep]), pa.array(b[keep], mask=links[keep] > 0), pa.array(links[keep])], ["a", "b", "links"]
@@ -252,13 +276,14 @@ def _verified(visits: DataFrame, cosine: float) -> DataFrame:
             places = batch.column(0).to_pylist()
             visitor = batch.column(1).to_numpy(zero_copy_only=False)
             k, n = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-            raw = batch.column(4).to_pylist()
+            raw, cell, cells = batch.column(4).to_pylist(), batch.column(5).to_numpy(), batch.column(6)
             cuts = [i for i in range(1, len(places)) if places[i] != places[i - 1] or visitor[i] != visitor[i - 1]]
             for a, b in zip([0, *cuts], [*cuts, len(places)]):
                 if places[a] != place:
                     place, held, members = places[a], [], None
                 if not visitor[a]:
-                    held.append((k[a:b], n[a:b], unit(raw[a:b])))
+                    known = np.frombuffer(b"".join(cells.slice(a, b - a).to_pylist()), "<i4")
+                    held.append((k[a:b], n[a:b], unit(raw[a:b]), known.reshape(b - a, -1).astype(np.int64)))
                     continue
                 if members is None and held:
                     members = tuple(np.concatenate(x) for x in zip(*held))
@@ -266,7 +291,7 @@ def _verified(visits: DataFrame, cosine: float) -> DataFrame:
                     continue
                 for at in range(a, b, BLOCK_ROWS):
                     end = min(b, at + BLOCK_ROWS)
-                    made = judged(members, (k[at:end], unit(raw[at:end])))
+                    made = judged(members, (k[at:end], n[at:end], unit(raw[at:end]), cell[at:end]))
                     if made is not None:
                         yield made
 
