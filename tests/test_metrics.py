@@ -100,3 +100,21 @@ def test_quantile_of_values_close_together(spark):
     for q in (0.0, 0.5, 0.95, 1.0):
         got = {x.g: (x.n, x.p95) for x in exact_quantile(df, ["g"], "v", q).collect()}
         assert got == {g: (len(v), sorted(v)[int(q * (len(v) - 1))]) for g, v in groups.items()}
+
+
+def test_sketches_merge_to_the_rank_of_all_values(spark):
+    """Many small sketches of a key give about what one over all its values gives."""
+    rnd = random.Random(9)
+    rows = [("hot", i % 97, rnd.lognormvariate(3, 2)) for i in range(40_000)]
+    rows += [("few", i, float(i)) for i in range(21)] + [(None, 0, 2.0), ("hot", 3, None), ("none", 0, None)]
+    df = spark.createDataFrame(rows, "k string, part int, v double").repartition(7)
+    merged = K.merged_sketches(K.quantile_sketches(df, ["k", "part"], "v"), ["k"])
+    claimed = merged.select("k", K.sketch_quantile(F.col("sketch")).alias("p95")).cache()
+    values = sorted(v for k, _, v in rows if k == "hot" and v is not None)
+    got = {r.k: r.p95 for r in claimed.collect()}
+    assert abs(sum(v <= got["hot"] for v in values) / len(values) - 0.95) <= K.SKETCH_RANK_ERROR
+    assert got["few"] in (19.0, 20.0) and got[None] == 2.0 and got["none"] is None
+    held = {r.k: (r.n, r.within) for r in K.ranks_hold(df, claimed, ["k"], "v", "p95").collect()}
+    assert held == {"hot": (40_000, True), "few": (21, True), None: (1, True)}
+    wrong = claimed.withColumn("p95", F.col("p95") * 2)
+    assert not any(r.within for r in K.ranks_hold(df, wrong, ["k"], "v", "p95").collect() if r.k == "hot")

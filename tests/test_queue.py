@@ -221,3 +221,14 @@ def test_roots_of_long_chains_and_circles(spark):
     assert all(got[100 + i] == (100, int(i > 0), False) for i in range(40))
     assert all(got[i] == (None, None, True) for i in (200, 201, 202, 210, 211, 300))
     assert ST.roots(make_queue(spark, rows).limit(0)).collect() == []
+
+
+def test_violations_scan_each_table_once_or_twice(spark, tmp_path):
+    queue = make_queue(spark, [dict(id=1, url="a"), dict(id=2, url="b", parent_url_id=7)])
+    queue.write.parquet(f"{tmp_path}/queue")
+    pages = spark.createDataFrame([(1,), (None,), (None,)], "url_id bigint")
+    pages.write.parquet(f"{tmp_path}/pages")
+    made = Q.queue_violations(spark.read.parquet(f"{tmp_path}/queue"), spark.read.parquet(f"{tmp_path}/pages"))
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 3 and "Join" not in plan
+    assert sorted(map(tuple, made.collect()), key=str) == [("page_unique", None, 2), ("parent", "7", 1)]

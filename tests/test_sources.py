@@ -4,6 +4,7 @@ from pathlib import Path
 
 from webtrail.functions import html as H
 from webtrail.sources import files as SF
+from webtrail.sources.row_store import RowStore
 from pyspark.sql import functions as F
 
 
@@ -110,3 +111,28 @@ def test_log_paths_find_saved_pages(spark, tmp_path):
     )
     got = SF.attach_html(log, SF.saved_html(spark, str(tmp_path / "html")), str(tmp_path)).collect()
     assert sorted((r.id, r.html) for r in got) == [(1, "page 1"), (2, "page 2")]
+
+
+def test_row_store_never_shuffles_what_is_stored(spark):
+    """Batches out of order, equal rows, a null key, a batch written twice, missing and other columns."""
+    path = folder()
+    rows = lambda *r: spark.createDataFrame(r, "url_id bigint, html string, seq int")
+    schema = rows().schema
+    store = RowStore(spark, f"{path}/a", schema, "url_id", ["seq"], 4)
+    assert store.read().collect() == []
+    store.add(1, rows((1, "a", 1), (1, "b", 2), (2, "c", 5), (None, "n", 1), (3, "x", None)))
+    again = rows((1, "d", 2), (2, "late", 4), (4, "e", 0), (4, "e", 0), (3, "y", 0))
+    store.add(2, again)
+    store.add(2, again)
+    store.add(3, spark.createDataFrame([(None, 9, "o")], "url_id bigint, seq int, other string"))
+    want = [(1, "d", 2), (2, "c", 5), (3, "y", 0), (4, "e", 0), (None, None, 9)]
+    assert sorted(map(tuple, store.read().collect()), key=str) == want
+    reopened = RowStore(spark, f"{path}/a", schema, "url_id", ["seq"], 4)
+    assert sorted(map(tuple, reopened.compacted(f"{path}/b").read().collect()), key=str) == want
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = reopened.read()._jdf.queryExecution().executedPlan().toString()
+        assert "Join" in plan and "Exchange" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -16,6 +16,8 @@ from ..session import cut_lineage
 
 # Bits of the fraction that buckets tell apart at first, and when the right one is refined.
 FIRST_BITS, NEXT_BITS = 10, 31
+# Size of a quantile sketch, and the error of its ranks that holds for practically every sketch of that size.
+SKETCH_SIZE, SKETCH_RANK_ERROR = 400, 0.0133
 
 def floor_index(q: float, n: Column) -> Column:
     """Zero-based index ``int(q * (n - 1))``."""
@@ -212,3 +214,35 @@ def running_quantile(
             (F.col("left_") - F.get("below_", F.col("pick_"))).alias("left_"),
         )
     return open_.withColumnRenamed("node_", name).drop("left_")
+
+
+# ---------------------------------------------------------------------------
+# Approximate quantiles that can be merged
+# ---------------------------------------------------------------------------
+
+
+def quantile_sketches(df: DataFrame, keys: Sequence[str], value: str, name: str = "sketch") -> DataFrame:
+    """``keys, <name>``: a quantile sketch of the non-null values of each key, to be stored with its metrics.
+
+    Sketches are of bounded size and merge: those of windows give that of a run, those of runs give that of all.
+    """
+    return df.groupBy(*keys).agg(F.kll_sketch_agg_double(F.col(value).cast("double"), SKETCH_SIZE).alias(name))
+
+
+def merged_sketches(sketches: DataFrame, keys: Sequence[str], name: str = "sketch") -> DataFrame:
+    """``keys, <name>``: the sketches of all rows of a key as one."""
+    return sketches.groupBy(*keys).agg(F.kll_merge_agg_double(name, SKETCH_SIZE).alias(name))
+
+
+def sketch_quantile(sketch: Column, q: float = 0.95) -> Column:
+    """A value whose rank is ``q`` to within ``SKETCH_RANK_ERROR``; NULL where the sketch has no values."""
+    return F.when(F.kll_sketch_get_n_double(sketch) > 0, F.kll_sketch_get_quantile_double(sketch, F.lit(q)))
+
+
+def ranks_hold(df: DataFrame, claimed: DataFrame, keys: Sequence[str], value: str, at: str, q: float = 0.95) -> DataFrame:
+    """``keys, n, within``: is the rank of the claimed value ``at`` of each key within the error of ``q``?"""
+    both = match_on(df.filter(F.col(value).isNotNull()), claimed.select(*keys, at), keys)
+    n = F.count(F.lit(1))
+    below, upto = F.count_if(F.col(value) < F.col(at)) / n, F.count_if(F.col(value) <= F.col(at)) / n
+    within = (below <= q + SKETCH_RANK_ERROR) & (upto >= q - SKETCH_RANK_ERROR)
+    return both.groupBy(*keys).agg(n.alias("n"), within.alias("within"))

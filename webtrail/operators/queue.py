@@ -421,54 +421,50 @@ def delete_children(rows: DataFrame, doomed: DataFrame) -> DataFrame:
 def queue_violations(
     queue: DataFrame, pages: DataFrame | None = None, extractions: DataFrame | None = None
 ) -> DataFrame:
-    """``rule, key, n``: every broken rule of the stored tables."""
+    """``rule, key, n``: every broken rule of the stored tables.
 
-    def row_rule(rule: str, broken: Column) -> DataFrame:
-        return queue.filter(broken).select(
-            F.lit(rule).alias("rule"),
-            F.col("id").cast("string").alias("key"),
-            F.lit(1).cast("bigint").alias("n"),
-        )
+    Two scans of the queue and one of each other table: one emits the broken rules of each row, the
+    other one aggregate over all keys, from which uniqueness and missing parents are read.
+    """
+    statuses = ("pending", "in_progress", "done", "failed")
+    geo = (F.col("geo_score") < 0) | (F.col("geo_score") > 1) | F.isnan("geo_score")
+    row_rules = {
+        "status": ~F.coalesce(F.col("status").isin(*statuses), F.lit(False)),
+        "geo_score": F.coalesce(geo, F.lit(True)),
+        "depth": F.coalesce(F.col("depth") < 0, F.lit(True)),
+        "url_null": F.col("url").isNull(),
+    }
+    broken = F.array_compact(F.array(*(F.when(c, F.lit(rule)) for rule, c in row_rules.items())))
+    by_row = queue.select(
+        F.explode(broken).alias("rule"), F.col("id").cast("string").alias("key"), F.lit(1).cast("bigint").alias("n")
+    )
 
-    def unique_rule(rule: str, df: DataFrame, key: str) -> DataFrame:
-        return (
-            df.groupBy(F.col(key).cast("string").alias("key"))
-            .agg(F.count(F.lit(1)).alias("n"))
-            .filter("n > 1")
-            .select(F.lit(rule).alias("rule"), "key", "n")
-        )
+    def use(space: str, kind: str, key: Column) -> Column:
+        return F.struct(F.lit(space).alias("space"), F.lit(kind).alias("kind"), key.cast("string").alias("key"))
 
-    def parent_rule(rule: str, df: DataFrame, child: str) -> DataFrame:
-        known = queue.select(F.col("id").alias(child))
-        return (
-            df.filter(F.col(child).isNotNull())
-            .groupBy(child)
-            .agg(F.count(F.lit(1)).alias("n"))
-            .join(known, child, "left_anti")
-            .select(F.lit(rule).alias("rule"), F.col(child).cast("string").alias("key"), "n")
-        )
+    uses = F.array(
+        use("id", "own", F.col("id")),
+        F.when(F.col("url").isNotNull(), use("url", "own", F.col("url"))),
+        F.when(F.col("parent_url_id").isNotNull(), use("id", "parent", F.col("parent_url_id"))),
+    )
+    keys = queue.select(F.explode(F.array_compact(uses)).alias("use")).select("use.*")
+    tables = {name: t for name, t in (("page", pages), ("extraction", extractions)) if t is not None}
+    for name, table in tables.items():
+        keys = keys.unionByName(table.select(use("id", name, F.col("url_id")).alias("use")).select("use.*"))
+    counts = keys.groupBy("space", "key").agg(
+        *(F.count_if(F.col("kind") == kind).alias(kind) for kind in ("own", "parent", *tables))
+    )
 
-    statuses = ("pending", "in_progress", "done", "failed")
-    rules = [
-        row_rule("status", ~F.coalesce(F.col("status").isin(*statuses), F.lit(False))),
-        row_rule(
-            "geo_score",
-            F.coalesce(
-                (F.col("geo_score") < 0) | (F.col("geo_score") > 1) | F.isnan("geo_score"),
-                F.lit(True),
-            ),
-        ),
-        row_rule("depth", F.coalesce(F.col("depth") < 0, F.lit(True))),
-        row_rule("url_null", F.col("url").isNull()),
-        unique_rule("url_unique", queue.filter(F.col("url").isNotNull()), "url"),
-        unique_rule("id_unique", queue, "id"),
-        parent_rule("parent", queue.select("parent_url_id"), "parent_url_id"),
+    def found(rule: Column, n: str, when: Column) -> Column:
+        return F.when(when, F.struct(rule.alias("rule"), F.col(n).alias("n")))
+
+    orphan = (F.col("own") == 0) & F.col("key").isNotNull()
+    key_rules = [
+        found(F.concat("space", F.lit("_unique")), "own", F.col("own") > 1),
+        found(F.lit("parent"), "parent", orphan & (F.col("parent") > 0)),
     ]
-    for name, table in (("page", pages), ("extraction", extractions)):
-        if table is not None:
-            rules.append(unique_rule(f"{name}_unique", table.select("url_id"), "url_id"))
-            rules.append(parent_rule(f"{name}_url", table.select("url_id"), "url_id"))
-    out = rules[0]
-    for rule in rules[1:]:
-        out = out.unionByName(rule)
-    return out
+    for name in tables:
+        key_rules.append(found(F.lit(f"{name}_unique"), name, F.col(name) > 1))
+        key_rules.append(found(F.lit(f"{name}_url"), name, orphan & (F.col(name) > 0)))
+    by_key = counts.select("key", F.explode(F.array_compact(F.array(*key_rules))).alias("f"))
+    return by_row.unionByName(by_key.select("f.rule", "key", "f.n"))

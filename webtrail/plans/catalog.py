@@ -23,11 +23,12 @@ from ..operators import queue as Q
 from ..operators import runs as R
 from ..operators import store as ST
 from ..operators import workers as W
-from ..operators.quantiles import exact_quantile
+from ..operators.quantiles import exact_quantile, merged_sketches, quantile_sketches, ranks_hold, sketch_quantile
 from ..params import DEFAULTS
 from ..session import shared_dir, spread
 from ..sources import files as SF
 from ..sources import snapshots as SN
+from ..sources.row_store import RowStore
 from ..streaming import ingest as SI
 from ..streaming import metrics as SM
 from . import fixtures as X
@@ -451,6 +452,22 @@ def store_latest(spark, sf):
     return ST.store_latest(version(1), version(2), "url_id", ["fetched", "seq"])
 
 
+@query
+def stored_pages(spark, sf):
+    """Pages in three batches: all, every third one anew, every fifth one late; the second is written twice."""
+    pages = X.table(spark, sf, "pages")
+    version = lambda n, fetched: pages.select(
+        F.col("page_id").alias("url_id"), "url", "html", F.lit(n).cast("bigint").alias("seq"),
+        F.lit(fetched).cast("bigint").alias("fetched"),
+    )
+    first, again, late = version(1, 10), version(2, 20).filter("url_id % 3 = 0"), version(3, 5).filter("url_id % 5 = 0")
+    store = RowStore(spark, fresh_folder(spark, "stored-pages"), first.schema, "url_id", ["fetched"], 8)
+    for number, rows in ((1, first), (2, again), (2, again), (3, late)):
+        store.add(number, rows)
+    made = store.compacted(fresh_folder(spark, "stored-pages")).read()
+    return made.select("url_id", "url", "seq", "fetched", F.length("html").cast("bigint").alias("chars"))
+
+
 @query
 def corpus_view(spark, sf):
     pages = pages_of(spark, sf).withColumns({"id": F.col("page_id"), "url_id": F.col("page_id")})
@@ -597,6 +614,17 @@ def p95_by_run(spark, sf):
     return p95.select("run", "status", "n", "p95")
 
 
+@query
+def p95_merged(spark, sf):
+    """Sketches of every minute, stored and merged to runs: is the rank of their p95 within the error?"""
+    log, keys = log_of(spark, sf), ["run", "status"]
+    minutes = log.withColumn("minute", F.date_trunc("minute", "ts"))
+    folder = fresh_folder(spark, "sketches")
+    quantile_sketches(minutes, [*keys, "minute"], "ms").write.parquet(folder)
+    merged = merged_sketches(spark.read.parquet(folder), keys)
+    return ranks_hold(log, merged.select(*keys, sketch_quantile(F.col("sketch")).alias("p95")), keys, "ms", "p95")
+
+
 @query
 def run_summary(spark, sf):
     made = R.run_summary(log_of(spark, sf), _extracted(spark, sf))

@@ -583,6 +583,9 @@ SELECT p.page_id AS id, url, chars, words, text_md5
 FROM ({ORACLES['main_text']}) t JOIN pages p ON p.page_id = t.page_id"""
 ORACLES["store_latest"] = """
 SELECT page_id AS url_id, url, 2::BIGINT AS seq, 20 + page_id % 13 AS fetched, length(html) AS chars FROM pages"""
+ORACLES["stored_pages"] = """
+SELECT page_id AS url_id, url, CASE WHEN page_id % 3 = 0 THEN 2 ELSE 1 END::BIGINT AS seq,
+       CASE WHEN page_id % 3 = 0 THEN 20 ELSE 10 END::BIGINT AS fetched, length(html) AS chars FROM pages"""
 ORACLES["corpus_view"] = with_(("queue", QUEUE), *PLAIN_SIGNALS) + """
 SELECT q.id AS url_id, s.page_id, s.url, q.status, q.source,
        CASE WHEN s.text <> '' THEN 0.67::DOUBLE ELSE 0.45::DOUBLE END AS confidence,
@@ -733,6 +736,9 @@ RUN_PARTS = (
     ("chars_by_run", CHARS),
 )
 ORACLES["p95_by_run"] = on_log(floor_p95("log", "run, status", "ms"))
+ORACLES["p95_merged"] = on_log(
+    "SELECT run, status, count(*) AS n, true AS within FROM log WHERE ms IS NOT NULL GROUP BY run, status"
+)
 ORACLES["run_summary"] = on_log(
     """SELECT run, fetched, total_urls, round(avg_ms, 6) AS avg_ms, p95 AS p95_ms, total_bytes,
     extracted_docs, total_chars FROM totals JOIN p USING (run) JOIN chars_by_run USING (run)""",
