@@ -47,6 +47,34 @@ def test_against_lists(spark, monkeypatch, most):
     assert got == plain(ROWS, most) and len(got) > 4
 
 
+@pytest.fixture
+def many_ranges(spark):
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    yield
+    spark.conf.set(name, before)
+
+
+def test_conversations_over_many_blocks(spark, many_ranges):
+    table = spark.createDataFrame(ROWS, SHAPE).repartition(4)
+    assert C.in_blocks(table).select("block").distinct().count() > 4
+    assert sorted(map(tuple, C.collapsed(table).collect()), key=str) == plain(ROWS, C.PART_TURNS)
+
+
+def test_a_third_of_all_rows_without_an_id(spark, many_ranges):
+    """Rows of one turn number and of many, all without an id: no block has more than a few ranges' share."""
+    rows = [(None, 0, "user", f"{k * 7919 % 4000} text") for k in range(2000)] + [(None, k, "user", "same") for k in range(2000)]
+    rows += [(k // 4, k % 4, "user", f"t{k % 50}") for k in range(8000)]
+    table = spark.createDataFrame(rows, SHAPE)
+    blocks = C.in_blocks(table).groupBy("conv", "block").count()
+    assert blocks.agg(F.max("count")).first()[0] <= 2 * len(rows) / 8
+    got = [r for r in C.collapsed(table).collect() if r.conv_id is None]
+    assert sorted((r.part, r.n_turns) for r in got) == [(p, 4000) for p in range(4)]
+    want = [r for r in plain(rows[:4000], C.PART_TURNS)]
+    assert sorted(map(tuple, got), key=str) == want
+
+
 def test_no_rows(spark):
     assert C.collapsed(spark.createDataFrame([], SHAPE)).collect() == []
 

@@ -7,9 +7,11 @@ of some other is dropped by an anti join, and of equal conversations the smalles
 What stays is rendered, a row for every ``PART_TURNS`` turns.
 
 Everything is DataFrame operations. Positions and running hashes are made in two levels: inside
-blocks of ``PART_TURNS`` turn numbers, and over the totals of the blocks. So a conversation that
-holds a third of all rows is spread over many tasks, as are very common conversations and
-turns: what repeats is aggregated before it is joined.
+blocks, which are ranges of about equally many rows in the order of the turns, and over the totals of the
+blocks. So a conversation that holds a third of all rows, null ids and equal turn numbers included, is
+spread over many tasks, as are very common conversations and turns: what repeats is aggregated
+before it is joined. The ranges look at the first ``RANGE_CHARS`` of role and text only, as samples of
+them pass through the driver; turns that agree in all that lie in one block.
 
 Turns are in order of ``turn``, then role, then text; nulls come first. Repeated rows count once. A
 null role or text counts as empty, and rows with a null id are one conversation. Markers inside
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .common import NO_ID, written
 
-PART_TURNS = 1024
+PART_TURNS, RANGE_CHARS = 1024, 64
 
 
 def rendered_turn(role: Column, text: Column) -> Column:
@@ -40,16 +42,23 @@ def _before(value, by: str = "conv") -> Column:
     return F.coalesce(value.over(order), F.lit(0).cast("long"))
 
 
-def prefixes(rows: DataFrame) -> DataFrame:
-    """``conv, position, role, text, one, two``: the turns in order with their prefix hashes."""
+def in_blocks(rows: DataFrame) -> DataFrame:
+    """``conv, turn, role, text, block``: the distinct turns; of a conversation, later blocks have later turns."""
     clean = rows.select(
         F.coalesce(F.col("conv_id").cast("long"), F.lit(NO_ID)).alias("conv"),
         F.coalesce(F.col("turn").cast("long"), F.lit(NO_ID)).alias("turn"),
         F.coalesce(F.col("role"), F.lit("")).alias("role"),
         F.coalesce(F.col("text"), F.lit("")).alias("text"),
     ).distinct()
-    blocks = ["conv", "block"]
-    clean = clean.withColumn("block", F.floor(F.col("turn") / PART_TURNS).cast("long"))
+    heads = [F.substring(c, 1, RANGE_CHARS) for c in ("role", "text")]
+    ordered = clean.repartitionByRange("conv", "turn", *heads)
+    # written, so that a turn has the same block whenever it is read
+    return written(ordered.withColumn("block", F.spark_partition_id().cast("long")), "turns-in-blocks")
+
+
+def prefixes(rows: DataFrame) -> DataFrame:
+    """``conv, position, role, text, one, two``: the turns in order with their prefix hashes."""
+    clean, blocks = in_blocks(rows), ["conv", "block"]
     inside = Window.partitionBy(*blocks).orderBy("turn", "role", "text")
     local = clean.withColumn("local", F.row_number().over(inside))
     sizes = clean.groupBy(*blocks).agg(F.count("*").alias("n"))
