@@ -91,6 +91,25 @@ def test_carried_columns_and_kept_text(spark):
     assert [(r.lang, r.n_chars) for r in rows] == [("en", 150), ("en", 121), ("en", 1)]
 
 
+def test_rows_without_an_id_are_dealt_out(spark):
+    """Many rows of no id, and of one id, go to many parts, the same on both sides; results stay exact."""
+    rows = [(None, f"{k} " * 40) for k in range(80)] + [(3, f"{k % 20} x" * 40) for k in range(60)] + [(1, "7 " * 60)]
+    docs = documents(spark, rows).repartition(4)
+    no_rows = spark.createDataFrame([], S.ROWS)
+    placed = {(r.id, r.tag): r.part for r in S._beside(docs, no_rows, 16).collect()}
+    for one in (S.NO_ID, 3):
+        assert len({part for (i, _), part in placed.items() if i == one}) > 8
+    ids, tags = (np.array(x) for x in zip(*placed))
+    tags = tags.astype(np.int32)
+    dealt = S._to_documents(ids, tags, np.arange(len(ids)), 16, S.REMOVED)
+    found = {}
+    for part, _, blob in dealt:
+        d, i, t, _ = S.unpack(blob)
+        found |= {(int(a), int(b)): part for a, b in zip(i[d], t[d])}
+    assert found == placed
+    assert got(docs) == plain(rows)
+
+
 def test_no_rows(spark):
     assert got(documents(spark, [])) == []
 

@@ -278,10 +278,15 @@ def _dealt(parts: np.ndarray, kind: int, make) -> list[tuple]:
     ]
 
 
+#: A document's part follows from its id and the hash of its text, so rows that share an id, or have none, are
+#: dealt out as well. The factor is below 2**32: its product with a 32-bit hash does not overflow.
+MIX = 2654435761
+
+
 def _to_documents(ids, tags, offs, q: int, kind: int) -> list[tuple]:
     order = np.lexsort((offs, tags, ids))
     ids, tags, offs = ids[order], tags[order], offs[order]
-    return _dealt(np.mod(ids, q), kind, lambda r: pack(ids[r], tags[r], offs[r]))
+    return _dealt(np.mod(ids ^ tags.astype(np.int64) * MIX, q), kind, lambda r: pack(ids[r], tags[r], offs[r]))
 
 
 def _texts(batches, sizes=CHUNK_BYTES):
@@ -394,7 +399,7 @@ def _beside(docs: DataFrame, rows: DataFrame, q: int, carry: list[str] = ()) ->
         F.struct(*(docs[f"`{c.replace('`', '``')}`"].alias(f"c{k}") for k, c in enumerate(["doc_id", *carry]))).alias("rest"),
     )
     texts = keyed.select(
-        F.pmod("id", F.lit(q)).alias("part"), F.lit(9).alias("kind"), F.lit(None).cast("binary").alias("blob"), "*"
+        F.pmod(F.col("id").bitwiseXOR(F.col("tag").cast("long") * F.lit(MIX)), F.lit(q)).alias("part"), F.lit(9).alias("kind"), F.lit(None).cast("binary").alias("blob"), "*"
     )
     return (
         texts.unionByName(rows.select("part", "kind", "blob"), allowMissingColumns=True)
