@@ -2,6 +2,8 @@ import datetime as dt
 import tempfile
 from pathlib import Path
 
+import pytest
+
 from webtrail.functions import html as H
 from webtrail.sources import files as SF
 from webtrail.sources.row_store import RowStore
@@ -136,3 +138,50 @@ def test_row_store_never_shuffles_what_is_stored(spark):
         assert "Join" in plan and "Exchange" not in plan
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+ODD_PAGES = [(7, b"seven"), (8, None), (8, None), (-9, b"caf\xc3\xa9 \xff\n<b>"), (10, b"x"), (10, b"x"), (None, b"no id"), (11, b"")]
+ODD_FILES = {"7": b"seven\n", "8": b"\n\n", "-9": b"caf\xc3\xa9 \xff\n<b>\n", "10": b"x\nx\n", "__HIVE_DEFAULT_PARTITION__": b"no id\n", "11": b"\n"}
+
+
+def odd_pages(spark):
+    return spark.createDataFrame(ODD_PAGES, "page_id long, html binary").withColumn("html", F.col("html").cast("string"))
+
+
+def test_pages_are_saved_one_to_a_file_without_other_files(spark):
+    """A checksum file or a folder for each page costs a process of its own in a local file system."""
+    base = folder()
+    SF.write_html(odd_pages(spark), f"file://{base}/saved")
+    files = [p for p in (base / "saved").rglob("*") if p.is_file()]
+    assert {p.name.removeprefix("page_id=").removesuffix(".html"): p.read_bytes() for p in files} == ODD_FILES
+    assert len(files) == len(ODD_FILES)
+    assert len([p for p in (base / "saved").rglob("*") if p.is_dir()]) <= SF.SAVED_PARTS
+    SF.write_html(odd_pages(spark).limit(0), f"{base}/none")
+    assert SF.saved_html(spark, f"{base}/none").count() == 0
+
+
+def test_pages_are_saved_in_other_stores(spark):
+    base = folder()
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.saved.link./in", f"file://{base}")
+    SF.write_html(odd_pages(spark), "viewfs://saved/in/a")
+    SF.write_html(odd_pages(spark), f"{base}/b")
+    one, other = (
+        SF.saved_html(spark, path).select(F.regexp_extract("html_path", "/page_id=([^/.]+)", 1), "html").collect()
+        for path in ("viewfs://saved/in/a", f"{base}/b")
+    )
+    assert sorted(map(tuple, one)) == sorted(map(tuple, other)) and len(one) == len(ODD_FILES)
+
+
+@pytest.mark.parametrize("store", ["", "file://", "viewfs://found/in"])
+def test_saved_pages_with_odd_ids(spark, monkeypatch, store):
+    """Ids below zero are found by their paths; a page without an id has none."""
+    from webtrail.plans import catalog
+    from webtrail.plans.catalog import QUERIES
+
+    base = folder()
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.found.link./in", "file:///")
+    monkeypatch.setattr(catalog, "shared_dir", lambda _: f"{store}{base}")
+    rows = [(-14, "a"), (-9, "b"), (-8, "c"), (7, "d"), (8, "e"), (9, "f"), (None, "g")]
+    spark.createDataFrame(rows, "page_id long, html string").write.parquet(f"{base}/pages.parquet")
+    got = QUERIES["saved_pages"](spark, str(base)).collect()
+    assert sorted((r.id, r.chars) for r in got) == [(-9, 2), (-8, 2), (8, 2), (9, 2)]

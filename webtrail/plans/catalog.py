@@ -718,13 +718,14 @@ def saved_pages(spark, sf):
     """Pages saved one to a file, read back by the paths of a log: blank, relative and whole ones."""
     folder = fresh_folder(spark, "saved")
     pages = X.table(spark, sf, "pages").select("page_id", "html")
-    pages.repartition(8, "page_id").write.partitionBy("page_id").text(folder)
+    SF.write_html(pages, folder)
     saved = SF.saved_html(spark, folder)
-    number = F.regexp_extract("html_path", r"page_id=(\d+)/", 1).cast("bigint")
-    below = F.regexp_extract("html_path", r"(page_id=\d+/.*)", 1)
-    path = F.when(number % 7 == 0, F.lit("  ")).when(number % 2 == 0, below).otherwise(F.col("html_path"))
+    number = F.regexp_extract("html_path", r"/page_id=(-?\d+)[./]", 1).try_cast("bigint")
+    below = F.regexp_extract("html_path", r"(part=\d+/page_id=.*)", 1)
+    # a page without an id has no path either
+    path = F.when(number.isNull() | (number % 7 == 0), F.lit("  ")).when(number % 2 == 0, below).otherwise(F.col("html_path"))
     log = saved.select(number.alias("id"), path.alias("html_path"))
-    base = F.regexp_replace(F.lit(folder), "^[a-z]+:/*", "/")
+    base = SF.plain_path(F.lit(folder))
     found = SF.attach_html(log, saved, spark.range(1).select(base).first()[0])
     return found.select("id", F.length("html").cast("bigint").alias("chars"), F.md5("html").alias("html_md5"))
 

@@ -5,6 +5,8 @@ All readers have fixed schemas; nothing is inferred.
 
 from __future__ import annotations
 
+import os
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -31,6 +33,8 @@ RUN_LINE = (
     r"(cpp|rust)\s+fetched=(\d+)/(\d+)\s+avg_ms=([0-9.]+)\s+p95_ms=([0-9.]+)\s+"
     r"pages_per_sec=([0-9.]+)\s+total_bytes=(\d+)"
 )
+# Folders that saved pages are dealt out to, so that they are listed in parallel.
+SAVED_PARTS = 64
 
 
 # ---------------------------------------------------------------------------
@@ -155,6 +159,49 @@ def parse_run_lines(lines: DataFrame, line: str = "line") -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
+def _local_path(spark: SparkSession, folder: str) -> str | None:
+    """The plain path of a folder in a (shared) local file system; None if it is in another store."""
+    scheme = re.match(r"([A-Za-z][A-Za-z0-9+.-]+):", folder)
+    store = scheme[1] if scheme else spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///").split(":")[0]
+    return os.path.abspath(re.sub(r"^file:(?://[^/]*)?", "", folder)) if store == "file" else None
+
+
+def write_html(pages: DataFrame, folder: str) -> None:
+    """``page_id, html`` saved one page to a file, ``part=<n>/page_id=<id>.html`` in a new folder.
+
+    A file has a line for each row of its id, an empty one where ``html`` is null. In a local file
+    system the tasks write the files themselves, as Spark's writer starts a ``chmod`` process there for
+    every folder, file and checksum. Each file is put in place whole, so a repeated task writes it again.
+    Other stores get Spark's writer, with a folder ``page_id=<id>`` for the file.
+    """
+    local = _local_path(pages.sparkSession, folder)
+    part = F.pmod(F.xxhash64("page_id"), F.lit(SAVED_PARTS)).alias("part")
+    dealt = pages.select(part, "page_id", "html").repartition("page_id")
+    if local is None:
+        dealt.write.partitionBy("part", "page_id").text(folder)
+        return
+    os.makedirs(local)
+
+    def save(rows):
+        # by value to the executors: nothing of this package is imported there
+        from itertools import groupby
+        from uuid import uuid4
+
+        for (part, page_id), same in groupby(rows, key=lambda row: (row["part"], row["page_id"])):
+            name = "__HIVE_DEFAULT_PARTITION__" if page_id is None else page_id
+            below = f"{local}/part={part}"
+            os.makedirs(below, exist_ok=True)
+            # hidden from readers if its task is lost
+            begun = f"{below}/.{uuid4().hex}"
+            with open(begun, "wb") as file:
+                for row in same:
+                    file.write((row["html"] or b"") + b"\n")
+            os.replace(begun, f"{below}/page_id={name}.html")
+
+    # bytes, as Python's strings would change those that are no UTF-8
+    dealt.withColumn("html", F.col("html").cast("binary")).sortWithinPartitions("page_id").foreachPartition(save)
+
+
 def saved_html(spark: SparkSession, folder: str) -> DataFrame:
     """``html_path, html`` of saved page files; bytes that are no UTF-8 are ignored."""
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
