@@ -2,11 +2,13 @@
 
 import hashlib
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
 
 from webtrail.llm import suffixes as S
+from webtrail.llm.common import work_folder
 
 from .conftest import documents
 
@@ -110,6 +112,45 @@ def test_rows_without_an_id_are_dealt_out(spark):
     assert got(docs) == plain(rows)
 
 
+def test_windows_are_on_disk_once(spark, monkeypatch):
+    """Windows are shuffled a range at a time, and ranked ones do not stay beside the texts of the last step."""
+    rows = made_rows(4)
+    monkeypatch.setattr(S, "BUCKET_BYTES", 900)
+    ranked, rank = [], S._window_ranks
+    monkeypatch.setattr(S, "_window_ranks", lambda windows, q: ranked.append(windows.filter(f"kind = {S.WINDOWS}").count()) or rank(windows, q))
+    folder = Path(work_folder(spark).removeprefix("file:"))
+    before = set(folder.glob("windows-*"))
+    assert got(documents(spark, rows).repartition(5)) == plain(rows)
+    assert sum(n > 0 for n in ranked) == S.RANGES and max(ranked) < 0.5 * sum(ranked)
+    made = set(folder.glob("windows-*")) - before
+    assert made
+    for table in made:
+        kept = spark.read.schema(S.ROWS).parquet(str(table))
+        assert kept.filter(f"kind = {S.WINDOWS}").count() == 0
+
+
+def test_copies_of_long_rows_in_several_layouts(spark):
+    """Rows that repeat, so long that each copy is laid out by itself."""
+    r = random.Random(5)
+    long = "".join(r.choice("abcdefgh ") for _ in range(S.CHUNK_BYTES * 3 // 4))
+    rows = [(1, long), (2, "x" + long[5000:9000] + "y" + long), (2, "x" + long[5000:9000] + "y" + long), (None, long[-700:])]
+    out = S.remove_repeats(documents(spark, rows).repartition(3)).orderBy("doc_id", "n_bytes").collect()
+    # the first 700 bytes of the end stay with the null id; both copies of row 2 keep their own two letters and cuts
+    assert [(x.doc_id, x.n_removed) for x in out[:2]] == [(None, 0), (1, 700)]
+    assert len({tuple(x) for x in out[2:]}) == 1 and out[2].n_bytes - out[2].n_removed == 2
+    assert out[2].kept == "xy"
+
+
+def test_places_are_gathered():
+    dealt = []
+    g = S.Gathered(lambda a, b: dealt.append((a, b)) or [(int(x), S.DECIDED, bytes(S.BATCH // 2)) for x in a[:5]])
+    assert list(g.add(np.arange(3), np.arange(3))) == [] and list(g.add(np.zeros(0, int), np.zeros(0, int))) == []
+    assert list(g.add(np.arange(S.GATHERED), np.arange(S.GATHERED))) and len(dealt) == 1 and len(dealt[0][0]) == S.GATHERED + 3
+    assert list(g.rest()) == []
+    list(g.add(np.arange(3), np.arange(3)))
+    assert [b.num_rows for b in g.rest()] == [2, 1]
+
+
 def test_no_rows(spark):
     assert got(documents(spark, [])) == []
 

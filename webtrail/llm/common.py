@@ -51,18 +51,29 @@ def shuffles_removed(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(CLEANUP, before)
 
 
+def write(df: DataFrame, name: str, by: str | None = None) -> str:
+    """The folder of ``df`` as a Parquet table in the shared folder, with a folder for each value of ``by``."""
+    spark = df.sparkSession
+    path = f"{work_folder(spark)}/{name}-{uuid4().hex}"
+    small_batches(spark)
+    with shuffles_removed(spark):
+        (df.write.partitionBy(by) if by else df.write).parquet(path)
+    return path
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: read any number of times, made once.
 
     A lost executor costs nothing that is written. The table is left in place, since the
     result that the caller gets is lazy and may be read later.
     """
-    spark = df.sparkSession
-    path = f"{work_folder(spark)}/{name}-{uuid4().hex}"
-    small_batches(spark)
-    with shuffles_removed(spark):
-        df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(write(df, name))
+
+
+def discard(spark: SparkSession, folder: str) -> None:
+    """Remove a written folder that no result reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def text_pieces(batch: pa.RecordBatch, column: int, most: int) -> Iterator[tuple[pa.RecordBatch, int]]:

@@ -19,11 +19,14 @@ positions whose next ``SAMPLE`` bytes are equal.
    ``PASSES`` ranges of buckets are sorted one after the other, which bounds the disk.
 2. *Contested suffixes.* Only windows through contested cover positions are themselves put
    into buckets, by a key of 96 bits over all their bytes; each bucket is sorted, and all but
-   the earliest of equal windows are repeats.
+   the earliest of equal windows are repeats. Windows are the bulk of the disk: they are made
+   for one of ``PASSES`` shares of the documents after the other, written once by ranges of
+   buckets, and a range is removed when it is ranked.
 
 Each task first settles what repeats within its own rows and sends one row of a key, so a
 passage that a third of all documents share costs a bucket one row per task. Keys are hashes:
-48 and more bits decide within classes of equal 40-bit keys, 96 bits decide windows.
+48 and more bits decide within classes of equal 40-bit keys, 96 bits decide windows. The 40 bits
+are others than those that choose the bucket, so chance meetings stay as rare when buckets get more.
 
 A null text counts as empty. A null id precedes all others. Rows that share an id are separate
 texts at the same place in the order: none precedes the other at the same start. Repeated rows
@@ -32,6 +35,7 @@ come out repeated, each with the same result.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 import struct
@@ -42,7 +46,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructType
 
-from .common import NO_ID, from_planes, planes, text_pieces, written
+from .common import NO_ID, discard, from_planes, planes, text_pieces, write, written
 
 WINDOW = 100
 PERIOD = 57
@@ -51,9 +55,14 @@ COVER = (0, 1, 3, 13, 32, 36, 43, 52)
 SIDE = PERIOD - 1
 SAMPLE = WINDOW - SIDE
 PASSES = 2
+#: Ranges of buckets that windows are ranked by, one after the other.
+RANGES = 4
 #: Bytes of text whose suffixes make one bucket, and that a task settles by itself.
 BUCKET_BYTES = 4 << 20
 CHUNK_BYTES = 3 << 20
+#: Places that a task gathers before it deals them to buckets or documents: with few to a row, rows take more than places.
+GATHERED = 1 << 20
+BATCH = 4 << 20
 SEGMENT = 1 << 18
 PAD = 256
 
@@ -251,21 +260,45 @@ def judged(key, reach, ids, offs, flag):
     return order, later, contested, new_key
 
 
-def _rows(made: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([m[0] for m in made], pa.int64()),
-            pa.array([m[1] for m in made], pa.int32()),
-            pa.array([m[2] for m in made], pa.binary()),
-        ],
-        ["part", "kind", "blob"],
-    )
+def _rows(made: list[tuple]):
+    """Batches of about ``BATCH`` bytes."""
+    at = size = 0
+    for k, m in enumerate(made, 1):
+        size += len(m[2])
+        if size >= BATCH or k == len(made):
+            part, kind, blob = zip(*made[at:k])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part, pa.int64()), pa.array(kind, pa.int32()), pa.array(blob, pa.binary())],
+                ["part", "kind", "blob"],
+            )
+            at, size = k, 0
+
+
+class Gathered:
+    """Columns of places from several pieces; ``deal(*columns)`` makes rows of them once there are enough."""
+
+    def __init__(self, deal):
+        self.deal, self.held, self.n = deal, [], 0
+
+    def add(self, *columns: np.ndarray):
+        if len(columns[0]):
+            self.held.append(columns)
+            self.n += len(columns[0])
+        if self.n >= GATHERED:
+            yield from self.rest()
+
+    def rest(self):
+        if self.held:
+            columns = [np.concatenate(c) for c in zip(*self.held)]
+            self.held, self.n = [], 0
+            yield from _rows(self.deal(*columns))
 
 
 ROWS = "part long, kind int, blob binary"
 NUMBERS = ("n_bytes", "n_removed", "n_spans")
 #: Kinds of rows.
 BUCKET, DECIDED, CONTESTED, REMOVED, WINDOWS = range(5)
+NO_RANGE = -1
 
 
 def _dealt(parts: np.ndarray, kind: int, make) -> list[tuple]:
@@ -323,42 +356,48 @@ def _cover_ranks(docs: DataFrame, lo: float, hi: float, buckets: int, q: int) ->
     """One pass: decided and contested cover positions of the keys in ``[lo, hi)``."""
     low, high = int(lo * 2**40), int(hi * 2**40)
 
+    def decided():
+        return [Gathered(lambda i, t, o, k=k: _to_documents(i, t, o, q, k)) for k in (DECIDED, CONTESTED)]
+
+    def to_buckets(ids, tags, offs, key, reach, flag):
+        order = np.lexsort((offs, tags, ids))
+        ids, tags, offs, key, reach, flag = (c[order] for c in (ids, tags, offs, key, reach, flag))
+        parts = ((key >> np.uint64(24)) * np.uint64(buckets) >> np.uint64(40)).astype(np.int64)
+        return _dealt(
+            parts,
+            BUCKET,
+            lambda r: pack(ids[r], tags[r], offs[r], _bytes(key[r], 5), _bytes(reach[r], 6), flag[r]),
+        )
+
     def deal(batches):
+        sent, (repeats, open_) = Gathered(to_buckets), decided()
         for x in _texts(batches):
             docs, offs = x.cover()
             key, reach = rolling(1).of(x.layout, x.starts[docs] + offs, [(0, SAMPLE), (-SIDE, SAMPLE + 2 * SIDE)])
-            key >>= np.uint64(24)
             reach >>= np.uint64(16)
-            mine = np.flatnonzero((key >= low) & (key < high))
+            lead = key >> np.uint64(24)
+            mine = np.flatnonzero((lead >= low) & (lead < high))
             key, reach, docs, offs = key[mine], reach[mine], docs[mine], offs[mine]
             ids, tags = x.ids[docs], x.tags[docs].astype(np.int32)
             none = np.zeros(len(key), bool)
             order, later, contested, first = judged(key, reach, ids, offs, none)
             d, c = order[later], order[~later & contested]
-            made = _to_documents(ids[d], tags[d], offs[d], q, DECIDED)
-            made += _to_documents(ids[c], tags[c], offs[c], q, CONTESTED)
+            yield from repeats.add(ids[d], tags[d], offs[d])
+            yield from open_.add(ids[c], tags[c], offs[c])
             send = np.ones(len(key), bool)
             send[order] = (~later & ~contested) | (contested & first)
             flag = none.copy()
             flag[order] = contested & first
             s = np.flatnonzero(send)
-            s = s[np.lexsort((offs[s], tags[s], ids[s]))]
-            parts = (key[s] * np.uint64(buckets) >> np.uint64(40)).astype(np.int64)
-            made += _dealt(
-                parts,
-                BUCKET,
-                lambda r: pack(
-                    ids[s[r]], tags[s[r]], offs[s[r]],
-                    _bytes(key[s[r]], 5), _bytes(reach[s[r]], 6), flag[s[r]],
-                ),
-            )
-            if made:
-                yield _rows(made)
+            yield from sent.add(ids[s], tags[s], offs[s], key[s], reach[s], flag[s])
+        for g in (sent, repeats, open_):
+            yield from g.rest()
 
     def rank(batches):
+        repeats, open_ = decided()
         for kind, blobs in _by_part(batches):
             if kind != BUCKET:
-                yield _rows([(p, kind, b) for p, b in blobs])
+                yield from _rows([(p, kind, b) for p, b in blobs])
                 continue
             rows = []
             for _, b in blobs:
@@ -367,10 +406,10 @@ def _cover_ranks(docs: DataFrame, lo: float, hi: float, buckets: int, q: int) ->
             ids, tags, offs, key, reach, flag = (np.concatenate(c) for c in zip(*rows))
             order, later, contested, _ = judged(key, reach, ids, offs, flag)
             d, c = order[later], order[~later & contested & ~flag[order]]
-            made = _to_documents(ids[d], tags[d], offs[d], q, DECIDED)
-            made += _to_documents(ids[c], tags[c], offs[c], q, CONTESTED)
-            if made:
-                yield _rows(made)
+            yield from repeats.add(ids[d], tags[d], offs[d])
+            yield from open_.add(ids[c], tags[c], offs[c])
+        for g in (repeats, open_):
+            yield from g.rest()
 
     dealt = _keyed(docs).mapInArrow(deal, ROWS)
     return dealt.repartition("kind", "part").sortWithinPartitions("kind", "part").mapInArrow(rank, ROWS)
@@ -390,8 +429,13 @@ def _by_part(batches):
         yield last[0], held
 
 
-def _beside(docs: DataFrame, rows: DataFrame, q: int, carry: list[str] = ()) -> DataFrame:
-    """Texts and packed rows that concern them, sorted so that the rows of a part come first."""
+def _beside(
+    docs: DataFrame, rows: DataFrame, q: int, carry: list[str] = (), share: tuple[int, int] = (0, 1)
+) -> DataFrame:
+    """Texts and packed rows that concern them, sorted so that the rows of a part come first.
+
+    ``share``: (k, n) for the parts that leave ``k`` when divided by ``n``.
+    """
     keyed = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"),
         F.hash(F.coalesce("text", F.lit(""))).alias("tag"),
@@ -403,6 +447,7 @@ def _beside(docs: DataFrame, rows: DataFrame, q: int, carry: list[str] = ()) ->
     )
     return (
         texts.unionByName(rows.select("part", "kind", "blob"), allowMissingColumns=True)
+        .filter(F.col("part") % share[1] == share[0])
         .repartition("part")
         .sortWithinPartitions("part", "kind")
     )
@@ -458,10 +503,20 @@ def _at(x: Layout, blobs, kind: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(docs), np.concatenate(offs)
 
 
-def _contested_windows(docs: DataFrame, ranks: DataFrame, buckets: int, q: int) -> DataFrame:
-    """Windows through contested positions, by bucket, and the removed ranges known so far."""
+def _contested_windows(docs: DataFrame, ranks: DataFrame, buckets: int, q: int, share: tuple[int, int]) -> DataFrame:
+    """Windows through contested positions, by bucket, and the removed ranges known so far.
+
+    ``range`` is that of the bucket, or ``NO_RANGE`` in rows of removed ranges.
+    """
+
+    def to_buckets(ids, tags, offs, one, two):
+        order = np.lexsort((offs, tags, ids))
+        ids, tags, offs, one, two = (c[order] for c in (ids, tags, offs, one, two))
+        parts = ((one >> np.uint64(24)) * np.uint64(buckets) >> np.uint64(40)).astype(np.int64)
+        return _dealt(parts, WINDOWS, lambda r: pack(ids[r], tags[r], offs[r], one[r], two[r]))
 
     def run(batches):
+        sent = Gathered(to_buckets)
         for blobs, table in _groups(batches):
             if not blobs:
                 continue
@@ -479,19 +534,16 @@ def _contested_windows(docs: DataFrame, ranks: DataFrame, buckets: int, q: int)
             send = np.ones(len(one), bool)
             send[order[later]] = False
             s = np.flatnonzero(send)
-            parts = ((one[s] >> np.uint64(24)) * np.uint64(buckets) >> np.uint64(40)).astype(np.int64)
-            made = _dealt(
-                parts,
-                WINDOWS,
-                lambda r: pack(ids[s[r]], tags[s[r]], offs[s[r]], one[s[r]], two[s[r]].astype("<u4")),
-            )
+            yield from sent.add(ids[s], tags[s], offs[s], one[s], two[s].astype("<u4"))
             d, o = x.places(_edges(known))
             d, o = d[x.single[d]], o[x.single[d]]
-            made += _to_documents(x.ids[d], x.tags[d].astype(np.int32), o, q, REMOVED)
-            if made:
-                yield _rows(made)
+            # each layout by itself: copies of a row in two of them would mix the ends of their ranges
+            yield from _rows(_to_documents(x.ids[d], x.tags[d].astype(np.int32), o, q, REMOVED))
+        yield from sent.rest()
 
-    return _beside(docs, ranks, q).mapInArrow(run, ROWS)
+    made = _beside(docs, ranks, q, share=share).mapInArrow(run, ROWS)
+    of_bucket = F.floor(F.col("part") * RANGES / buckets).cast("int")
+    return made.withColumn("range", F.when(F.col("kind") == WINDOWS, of_bucket).otherwise(NO_RANGE))
 
 
 def _edges(marks: np.ndarray) -> np.ndarray:
@@ -504,6 +556,7 @@ def _window_ranks(windows: DataFrame, q: int) -> DataFrame:
     """All but the earliest of equal windows."""
 
     def rank(batches):
+        repeats = Gathered(lambda i, t, o: _to_documents(i, t, o, q, DECIDED))
         for _, blobs in _by_part(batches):
             rows = []
             for _, b in blobs:
@@ -512,11 +565,17 @@ def _window_ranks(windows: DataFrame, q: int) -> DataFrame:
             ids, tags, offs, one, two = (np.concatenate(c) for c in zip(*rows))
             order, later, _, _ = judged(one, two, ids, offs, np.zeros(len(one), bool))
             d = order[later]
-            if made := _to_documents(ids[d], tags[d], offs[d], q, DECIDED):
-                yield _rows(made)
+            yield from repeats.add(ids[d], tags[d], offs[d])
+        yield from repeats.rest()
+
+    return windows.repartition("part").sortWithinPartitions("part").mapInArrow(rank, ROWS)
 
-    sorted_in = windows.filter(F.col("kind") == WINDOWS).repartition("part").sortWithinPartitions("part")
-    return sorted_in.mapInArrow(rank, ROWS)
+
+def _of_range(spark: SparkSession, folders: list[str], r: int) -> DataFrame:
+    """Rows of a range, of what stands in the folders now."""
+    read = spark.read.schema(f"{ROWS}, range int")
+    tables = [read.parquet(f).filter(F.col("range") == r).select("part", "kind", "blob") for f in folders]
+    return functools.reduce(DataFrame.union, tables)
 
 
 def remove_repeats(docs: DataFrame, carry: list[str] = (), keep: bool = True) -> DataFrame:
@@ -535,9 +594,16 @@ def remove_repeats(docs: DataFrame, carry: list[str] = (), keep: bool = True) ->
     for p in range(PASSES):
         made = written(_cover_ranks(docs, p / PASSES, (p + 1) / PASSES, buckets * PASSES, q), "cover-ranks")
         ranks = made if ranks is None else ranks.union(made)
-    windows = written(_contested_windows(docs, ranks, buckets, q), "windows")
-    more = written(_window_ranks(windows, q), "window-ranks")
-    removed = windows.filter(F.col("kind") == REMOVED).union(more)
+    shares = min(PASSES, q)
+    windows = [
+        write(_contested_windows(docs, ranks, buckets, q, (k, shares)), "windows", "range") for k in range(shares)
+    ]
+    more = []
+    for r in range(RANGES):
+        more.append(written(_window_ranks(_of_range(spark, windows, r), q), "window-ranks"))
+        for folder in windows:
+            discard(spark, f"{folder}/range={r}")
+    removed = functools.reduce(DataFrame.union, more, _of_range(spark, windows, NO_RANGE))
     carry = list(carry)
 
     def run(batches):
