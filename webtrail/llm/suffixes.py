@@ -61,7 +61,7 @@ RANGES = 4
 BUCKET_BYTES = 4 << 20
 CHUNK_BYTES = 3 << 20
 #: Places that a task gathers before it deals them to buckets or documents: with few to a row, rows take more than places.
-GATHERED = 1 << 20
+GATHERED = 1 << 19
 BATCH = 4 << 20
 SEGMENT = 1 << 18
 PAD = 256
